@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import cut
 
 
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A link from each node but one of every connected group to that one: fewer links than given, joining the same nodes."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    left, right = at[: len(a)], at[len(a) :]
+    root = np.arange(len(nodes))
+    while (root[left] != root[right]).any():
+        low = root.copy()
+        np.minimum.at(low, root[left], root[right])
+        np.minimum.at(low, root[right], root[left])
+        root = low[root]
+        while (root[root] != root).any():
+            root = root[root]
+    child = root != np.arange(len(nodes))
+    return nodes[child], nodes[root[child]]
+
+
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))

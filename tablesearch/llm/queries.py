@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from . import embeddings, simhash
 from .bpe import bpe_round_trip
 from .pii import find_pii
 from .token_counts import count_tokens
@@ -15,6 +16,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -32,5 +41,21 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, folder, "ids_crc32")
 
 
-QUERIES = {f.__name__: f for f in (op3_token_counts, op7_byte_bpe, op9_pii, op10_token_files)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op3_token_counts, op4_simhash, op7_byte_bpe, op9_pii, op10_token_files)}
+#: DuckDB SQL for those whose results SQL can express.
+SQL: dict[str, str] = {
+    "op1_embedding_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_sum(list_transform(list_zip(a.e, b.e), lambda p: p[1] * p[2])) / (sqrt(list_sum(list_transform(a.e, lambda x: x * x))) * sqrt(list_sum(list_transform(b.e, lambda x: x * x)))) >= 0.95
+), r AS (
+  SELECT vec_id AS node, vec_id AS reached FROM embeddings UNION SELECT r.node, l.b FROM r JOIN l ON r.reached = l.a
+)
+SELECT e.vec_id, (SELECT count(*) FROM l WHERE l.a = e.vec_id) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN (SELECT node, min(reached) AS component_id FROM r GROUP BY node) c ON c.node = e.vec_id
+""",
+}
