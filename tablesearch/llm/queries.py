@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embeddings, langid, simhash, toxicity
+from . import decontaminate, embeddings, langid, simhash, toxicity
 from .bpe import bpe_round_trip
 from .pii import find_pii
 from .token_counts import count_tokens
@@ -40,6 +40,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern=public_tokenizers.PATTERN)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(_table(spark, sf_dir, "documents")).drop("found", "redacted")
 
@@ -49,7 +53,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, folder, "ids_crc32")
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op3_token_counts, op4_simhash, op5_language_id, op6_toxicity, op7_byte_bpe, op9_pii, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op3_token_counts, op4_simhash, op5_language_id, op6_toxicity, op7_byte_bpe, op8_decontamination, op9_pii, op10_token_files)}
 #: DuckDB SQL for those whose results SQL can express.
 SQL: dict[str, str] = {
     "op1_embedding_dedup": """
