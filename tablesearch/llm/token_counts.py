@@ -91,7 +91,12 @@ def _counted(path: str):
 
 
 def _documents(path: str, hot):
-    """A row (piece null) for each document with the tokens of its hot pre-tokens, and one for each of its other pre-tokens."""
+    """A row (base 1) for each document with the tokens of its hot pre-tokens, and one for each of its other pre-tokens.
+
+    The first kind has a key of its own that is no pre-token (none has a digit beside a sign), so both go through one join.
+    """
+
+    names_out = ["id", "key", "n_bytes", "piece", "n", "base"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, known = _splitter(path), hot.value
@@ -108,10 +113,11 @@ def _documents(path: str, hot):
             rare = tokens[flat] == 0
             pair, freq = np.unique(row[rare] * max(len(names), 1) + flat[rare], return_counts=True)
             at, piece = np.divmod(pair, max(len(names), 1))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), batch.column("n_bytes"), pa.nulls(len(texts), pa.string()), pa.array(sums)], ["id", "key", "n_bytes", "piece", "n"])
+            own = pa.array([f"\0{i}" for i in range(len(texts))])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), batch.column("n_bytes"), own, pa.array(sums), pa.array(np.ones(len(texts), np.int64))], names_out)
             if len(pair):
                 at = pa.array(at)
-                yield pa.RecordBatch.from_arrays([batch.column("id").take(at), batch.column("key").take(at), batch.column("n_bytes").take(at), pa.array(names, pa.string()).take(pa.array(piece)), pa.array(freq.astype(np.int64))], ["id", "key", "n_bytes", "piece", "n"])
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(at), batch.column("key").take(at), batch.column("n_bytes").take(at), pa.array(names, pa.string()).take(pa.array(piece)), pa.array(freq.astype(np.int64)), pa.array(np.zeros(len(pair), np.int64))], names_out)
 
     return run
 
@@ -147,9 +153,8 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     hot = {r[0]: r[1] for r in vocabulary.filter((F.col("n") >= least) & (F.col("tokens") > 0)).select("piece", "tokens").collect()} if least is not None else {}
 
     keyed = base.select("id", F.xxhash64("text").alias("key"), F.octet_length("text").cast("long").alias("n_bytes"), "text")
-    parts = keyed.mapInArrow(_documents(tokenizer_path, spark.sparkContext.broadcast(hot)), f"id {base.schema['id'].dataType.simpleString()}, key long, n_bytes long, piece string, n long")
-    rare = parts.filter("piece is not null").join(vocabulary.select("piece", "tokens"), "piece").select("id", "key", "n_bytes", (F.col("n") * F.col("tokens")).alias("n"), F.lit(0).alias("row"))
-    sums = parts.filter("piece is null").select("id", "key", "n_bytes", "n", F.lit(1).alias("row")).unionByName(rare)
-    sums = sums.groupBy("id", "key", "n_bytes").agg(F.sum("n").alias("n"), F.sum("row").alias("rows"))
+    parts = keyed.mapInArrow(_documents(tokenizer_path, spark.sparkContext.broadcast(hot)), f"id {base.schema['id'].dataType.simpleString()}, key long, n_bytes long, piece string, n long, base long")
+    joined = parts.join(vocabulary.select("piece", "tokens"), "piece", "left").withColumn("n", F.col("n") * F.when(F.col("base") == 1, F.lit(1)).otherwise(F.col("tokens")))
+    sums = joined.groupBy("id", "key", "n_bytes").agg(F.sum("n").alias("n"), F.sum("base").alias("rows"))
     each = sums.select("id", "n_bytes", (F.col("n") / F.col("rows")).cast("long").alias("n_tokens"), F.explode(F.array_repeat(F.lit(0), F.col("rows").cast("int"))))
     return each.select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
