@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, embeddings, langid, simhash, toxicity
+from . import decontaminate, embeddings, langid, simhash, substrings, toxicity
 from .bpe import bpe_round_trip
 from .pii import find_pii
 from .token_counts import count_tokens
@@ -24,6 +24,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept", "spans")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -53,7 +57,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, folder, "ids_crc32")
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op3_token_counts, op4_simhash, op5_language_id, op6_toxicity, op7_byte_bpe, op8_decontamination, op9_pii, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_substring_dedup, op3_token_counts, op4_simhash, op5_language_id, op6_toxicity, op7_byte_bpe, op8_decontamination, op9_pii, op10_token_files)}
 #: DuckDB SQL for those whose results SQL can express.
 SQL: dict[str, str] = {
     "op1_embedding_dedup": """
