@@ -175,21 +175,38 @@ def _predict(shared):
         scorer = Scorer(shared.value)
         for batch, texts in text_chunks(batches, "text"):
             found = scorer.predict(texts)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], [*batch.schema.names[:-1], "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], ["id", "lang_pred", "score"])
 
     return run
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Language of each whole text: the columns in keep, lang_pred, score (0 to 1).
+def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Language of each whole text: id_col, lang_pred, score (0 to 1).
 
     A null text and one without a letter are UNKNOWN with score 0, as is every text if the model knows no language. Ties go
     to the first language by name. Each input row gives one row; an empty table gives an empty table.
     """
-    base = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text_col).alias("text"))
-    kinds = ", ".join(f"k{i} {base.schema[f'k{i}'].dataType.simpleString()}" for i in range(len(keep)))
-    out = base.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model)), f"{kinds}, lang_pred string, score double")
-    return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score")
+    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    out = base.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model)), f"id {base.schema['id'].dataType.simpleString()}, lang_pred string, score double")
+    return out.withColumnRenamed("id", id_col)
+
+
+def _known(shared, text_col: str, lang_col: str, min_score: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for batch, texts in text_chunks(batches, text_col):
+            found = scorer.predict(texts)
+            i = batch.schema.get_field_index(lang_col)
+            langs = pa.array([own if own is not None else new for own, (new, _) in zip(batch.column(i).to_pylist(), found, strict=True)], batch.schema.field(i).type)
+            yield batch.set_column(i, batch.schema.field(i), langs).filter(pa.array([lang != UNKNOWN and score >= min_score for lang, score in found]))
+
+    return run
+
+
+def keep_known(docs: DataFrame, model: Model, min_score: float, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of docs whose predicted language is not UNKNOWN and scores min_score or more, with all their columns; a null
+    language is filled with the predicted one."""
+    return docs.mapInArrow(_known(docs.sparkSession.sparkContext.broadcast(model), text_col, lang_col, min_score), docs.schema)
 
 
 def predict_held_out(docs: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import cut, text_chunks
@@ -53,19 +53,19 @@ def _fingerprints(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_chunks(batches, "text"):
             prints = np.array([fingerprint(t.encode().lower().split(), size) for t in texts], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(prints.view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), pa.array(prints.view(np.int64))], ["id", "key", "fp"])
 
     return run
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3) -> DataFrame:
-    """id_col and fp (the 64 fingerprint bits as a long) of each whole text.
+    """id, key (a hash of the text) and fp (the 64 fingerprint bits as a long) of each whole text.
 
     A-Z are lower-cased, words are split at ASCII white space, a shingle is shingle_words words joined by a space, hashed by
     XXH64 with seed 42. Fewer words: the whole sequence is the one shingle. A null text and one without words have 0.
     """
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return base.mapInArrow(_fingerprints(shingle_words), f"id {base.schema['id'].dataType.simpleString()}, fp long").withColumnRenamed("id", id_col)
+    base = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
+    return base.mapInArrow(_fingerprints(shingle_words), f"id {base.schema['id'].dataType.simpleString()}, key long, fp long")
 
 
 def _near(x: np.ndarray, y: np.ndarray, radius: int) -> np.ndarray:
@@ -159,6 +159,17 @@ def near_fingerprints(prints: DataFrame, radius: int = 3) -> DataFrame:
     return dealt.mapInArrow(_links(radius), "a long, b long")
 
 
+def _groups(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints of all rows, and for each distinct one the id and text hash of the first row of its group."""
+    prints = cut(fingerprints(docs, id_col, text_col, shingle_words), "prints")
+    row = F.struct(F.col("id").isNull().alias("none"), "id", "key")
+    nodes = cut(prints.groupBy("fp").agg(F.min(row).alias("low")), "nodes")
+    found = components(near_fingerprints(nodes, radius))
+    whole = nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "low", F.coalesce("component", "fp").alias("component"))
+    lowest = whole.groupBy("component").agg(F.min("low").alias("first"))
+    return prints, whole.select("fp", "component").join(lowest, "component").select("fp", "first.id", "first.key")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, radius: int = 3) -> DataFrame:
     """Documents linked by fingerprints of radius or fewer differing bits: id_col, fingerprint (16 hex digits), component_id
     (the smallest id reachable by links, its own included) and kept (it is that id).
@@ -167,11 +178,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     zero and links like any other. A null id is never the smallest unless its group has no other; kept is then true. Rows
     with equal ids each give a row. An empty table gives an empty table; other columns are ignored.
     """
-    prints = cut(fingerprints(docs, id_col, text_col, shingle_words).withColumnRenamed(id_col, "id"), "prints")
-    nodes = cut(prints.groupBy("fp").agg(F.min("id").alias("low")), "nodes")
-    found = components(near_fingerprints(nodes, radius))
-    whole = nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "low", F.coalesce("component", "fp").alias("component"))
-    lowest = whole.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = whole.select("fp", "component").join(lowest, "component").select("fp", "component_id")
-    out = prints.join(named, "fp").select(F.col("id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-    return out.select(F.col("id").alias(id_col), "fingerprint", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    prints, groups = _groups(docs, id_col, text_col, shingle_words, radius)
+    out = prints.join(groups.select("fp", F.col("id").alias("component_id")), "fp")
+    return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, radius: int = 3) -> DataFrame:
+    """docs with one row of each group of near_duplicates, all columns kept: the smallest id's; of equal ids the one with the
+    smallest text hash; of rows equal in both the first by a hash of all columns. Null ids come last."""
+    first = _groups(docs, id_col, text_col, shingle_words, radius)[1].select(F.col("id").alias("_first_id"), F.col("key").alias("_first_key")).distinct()
+    own = docs.withColumn("_key", F.xxhash64(text_col))
+    kept = own.join(first, own[id_col].eqNullSafe(first["_first_id"]) & (own["_key"] == first["_first_key"]), "left_semi")
+    order = Window.partitionBy(id_col, "_key").orderBy(F.xxhash64(*docs.columns))
+    return kept.withColumn("_n", F.row_number().over(order)).filter("_n = 1").select(*docs.columns)
