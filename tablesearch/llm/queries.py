@@ -73,5 +73,21 @@ WITH RECURSIVE v AS (
 )
 SELECT e.vec_id, (SELECT count(*) FROM l WHERE l.a = e.vec_id) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
 FROM embeddings e JOIN (SELECT node, min(reached) AS component_id FROM r GROUP BY node) c ON c.node = e.vec_id
+""",
+    "op2_substring_dedup": r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), g AS (
+  SELECT doc_id, i, array_to_string(ws[i:i+12], ' ') AS run FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13)
+), r AS (
+  SELECT doc_id, i FROM g JOIN (SELECT run, min(doc_id) AS low FROM g GROUP BY run) USING (run) WHERE low < doc_id
+), c AS (
+  SELECT DISTINCT doc_id, i + j AS pos FROM r, (SELECT unnest(range(13)) AS j)
+), k AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS kept, count(*) AS n
+  FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM w) ANTI JOIN c USING (doc_id, pos) GROUP BY doc_id
+)
+SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)
 """,
 }
