@@ -15,11 +15,15 @@ from ..sources.snapshots import Namespace, Snapshots
 from .registry import Tables, query
 
 
+_own: dict[str, str] = {}
+
+
 def _folder(t: Tables) -> str:
+    """A new folder in the cluster's shared one; where spark.checkpoint.dir is unset, in a local one of this session."""
     shared = t.spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        shared = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        t.spark.conf.set("spark.checkpoint.dir", shared)
+        key = t.spark.sparkContext.applicationId
+        shared = _own[key] = _own.get(key) or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     return f"{shared.rstrip('/')}/table-{uuid.uuid4().hex}"
 
 
