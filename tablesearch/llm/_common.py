@@ -16,12 +16,15 @@ from pyspark.sql import functions as F
 CHUNK_BYTES = 4 << 20
 
 
+_own: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir; where it is unset (as in tests) a new local one is set."""
+    """The shared folder the cluster names in spark.checkpoint.dir; where it is unset (as in tests) a local one a session."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        key = spark.sparkContext.applicationId
+        folder = _own[key] = _own.get(key) or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     return folder.rstrip("/")
 
 
