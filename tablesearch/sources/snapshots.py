@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from ..operators import dml
 
 ROW_ID = "_rowid"
+CLEANUP_EVERY, CLEANUP_RETAIN = "cleanup.interval", "cleanup.retain_versions"
 
 
 class Conflict(RuntimeError):
@@ -62,8 +63,16 @@ class Snapshots:
             raise Conflict(f"version {version} of {self.path} exists already") from e
         out.write(json.dumps(manifest).encode())
         out.close()
+        every = int(manifest.get("properties", {}).get(CLEANUP_EVERY, 0))
+        if every and version % every == 0:
+            self.vacuum(int(manifest["properties"][CLEANUP_RETAIN]))
         return version
 
+    def transaction(self) -> Transaction:
+        """with table.transaction() as t: changes of t are one version, made at the end if nobody else wrote meanwhile; an
+        exception makes none."""
+        return Transaction(self)
+
     # reading
 
     def schema(self, manifest: dict[str, Any]) -> T.StructType:
@@ -182,7 +191,10 @@ class Snapshots:
         return self._replace(manifest, files, None if condition is None else dml.delete(self._rows(manifest, files), condition))
 
     def truncate(self) -> int:
-        return self.delete()
+        """Drop all rows without reading them; how many there were."""
+        before = self.count()
+        self.delete()
+        return before
 
     def merge(self, source: DataFrame, on: str, clauses: list[dml.When], source_order: list[str]) -> int:
         """on and the clauses read t.<column> and s.<column>. Files with no changed row stay as they are."""
@@ -220,6 +232,19 @@ class Snapshots:
             fs.delete(where, False)
         return gone
 
+    def set_auto_cleanup(self, interval: int | None, retain_versions: int = 1) -> int:
+        """Vacuum at every interval-th version; None turns it off."""
+        if interval is not None and (interval <= 0 or retain_versions <= 0):
+            raise ValueError("interval and retain_versions must be positive")
+        self.set_property(CLEANUP_RETAIN, None if interval is None else str(retain_versions))
+        return self.set_property(CLEANUP_EVERY, None if interval is None else str(interval))
+
+    def maintenance(self) -> DataFrame:
+        """Settings of upkeep as rows of key and value."""
+        p = self.manifest()["properties"]
+        rows = [("enabled", str(CLEANUP_EVERY in p).lower()), ("interval", p.get(CLEANUP_EVERY)), ("retain_versions", p.get(CLEANUP_RETAIN))]
+        return self.spark.createDataFrame(rows, "key string, value string")
+
     # schema
 
     def _evolve(self, fields: list[T.StructField], **more: Any) -> int:
@@ -283,6 +308,31 @@ class Snapshots:
         return self._evolve(self._fields(manifest), properties=properties)
 
 
+class Transaction(Snapshots):
+    """A table whose commits are held back: inside, later changes see earlier ones; outside, nothing is seen until the end."""
+
+    def __init__(self, table: Snapshots):
+        super().__init__(table.spark, table.path)
+        self._base = super().manifest()
+        self._now = self._base
+
+    def manifest(self, version: int | None = None) -> dict[str, Any]:
+        return self._now if version is None or version == self._now["version"] else super().manifest(version)
+
+    def _commit(self, manifest: dict[str, Any], version: int) -> int:
+        if manifest["schema"] != self._base["schema"]:
+            raise ValueError("a transaction cannot change the schema")
+        self._now = manifest | {"version": self._base["version"]}
+        return self._base["version"]
+
+    def __enter__(self) -> Transaction:
+        return self
+
+    def __exit__(self, kind, error, trace) -> None:
+        if kind is None and self._now is not self._base:
+            Snapshots(self.spark, self.path)._commit(self._now, self._base["version"] + 1)
+
+
 class Namespace:
     """A folder of tables, by name."""
 

@@ -143,6 +143,48 @@ def test_blobs(people, spark):
         read_blob(spark, "http://x")
 
 
+def test_transactions(people, spark):
+    rows = spark.createDataFrame([(9, "Zoe", 1)], "id long, name string, age int")
+    with people.transaction() as t:
+        t.insert(rows)
+        t.update({"name": F.lit("Q")}, "id = 9")
+        t.delete("id = 1")
+        assert ids(t.read()) == [2, 3, 4, 9] and ids(people.read()) == [1, 2, 3, 4]
+    assert people.versions() == [1, 2] and ids(people.read()) == [2, 3, 4, 9] and people.read().filter("id = 9").first()["name"] == "Q"
+    with pytest.raises(RuntimeError):
+        with people.transaction() as t:
+            t.delete("id = 2")
+            raise RuntimeError
+    assert people.versions() == [1, 2]
+    with pytest.raises(Conflict):
+        with people.transaction() as t:
+            t.delete("id = 2")
+            people.insert(rows)
+    with pytest.raises(ValueError, match="schema"):
+        with people.transaction() as t:
+            t.drop_column("age")
+
+
+def test_upkeep_by_itself(people, spark):
+    people.set_auto_cleanup(4, 2)
+    assert {r["key"]: r["value"] for r in people.maintenance().collect()} == {"enabled": "true", "interval": "4", "retain_versions": "2"}
+    people.delete("id = 1")
+    assert people.versions() == [3, 4] and people.truncate() == 3 and people.count() == 0
+
+
+def test_resolvers(spark, tmp_path):
+    from tablesearch.sources.resolvers import Resolvers
+
+    r = Resolvers()
+    r.register("a", lambda n: f"{tmp_path}/a-{n}" if n == "x" else None)
+    r.register("b", lambda n: f"{tmp_path}/b-{n}" if n in "xy" else None, priority=5)
+    assert r.path("x").endswith("b-x") and r.path("z") == "z"
+    with pytest.raises(KeyError):
+        r.path("z", strict=True)
+    r.open(spark, "y").write(spark.range(2))
+    assert r.open(spark, "y").count() == 2
+
+
 def test_namespace(spark, tmp_path):
     space = Namespace(spark, str(tmp_path))
     space.table("b").write(spark.range(3))
