@@ -32,7 +32,7 @@ def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     """Write df to the shared folder and read it back: the rows outlive lost executors and the lineage ends here."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

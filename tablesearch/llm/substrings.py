@@ -27,6 +27,9 @@ FILTER_BITS, MOST_BITS = 16, 1 << 29
 #: Distinct stretches of one anchor that one automaton takes; a larger anchor's windows are compared by a Spark aggregation.
 SHARD = 2000
 
+#: Anchors beyond SHARD that are broadcast (8 bytes each); more are joined by a shuffle.
+MOST_LARGE = 100_000
+
 _B = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -343,17 +346,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     keyed = base.withColumn("key", F.xxhash64("text"))
     found = cut(keyed.filter("id is not null").mapInArrow(_stretches(window, n_bits, shared), "id long, key long, anchor long, name long, start long, words string"), "stretches")
-    distinct = cut(found.groupBy("anchor", "name", "words").agg(F.min("id").alias("owner"), F.max("id").alias("last")), "distinct")
-    sizes = distinct.groupBy("anchor").agg(F.count("*").alias("n"), F.min("owner").alias("low"), F.max("last").alias("high")).filter("low < high")
-    sized = distinct.join(sizes.select("anchor", "n"), "anchor").select("anchor", "n", "name", "words", "owner")
-    small = sized.filter(F.col("n") <= SHARD).repartition("anchor").sortWithinPartitions("anchor").select("anchor", "name", "words", "owner").mapInArrow(_shards(window), "anchor long, name long, owners array<long>")
-    runs = cut(sized.filter(F.col("n") > SHARD).mapInArrow(_windows(window), "anchor long, name long, place long, run string, owner long"), "windows")
+    distinct = cut(found.groupBy("anchor", "name", "words").agg(F.min("id").alias("owner")), "distinct")
+    large = cut(distinct.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > SHARD).select("anchor"), "large")
+    large = F.broadcast(large) if large.count() <= MOST_LARGE else large
+    small = distinct.join(large, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor").select("anchor", "name", "words", "owner").mapInArrow(_shards(window), "anchor long, name long, owners array<long>")
+    runs = cut(distinct.join(large, "anchor", "left_semi").select("anchor", "name", "words", "owner").mapInArrow(_windows(window), "anchor long, name long, place long, run string, owner long"), "windows")
     lowest = runs.groupBy("run").agg(F.min("owner").alias("low"))
-    large = runs.join(lowest, "run").groupBy("anchor", "name").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "low"))), lambda x: x["low"]).alias("owners"))
-
-    # An anchor and the hash of a stretch's words, 128 bits together, stand for the words from here on.
-    met = found.select("id", "key", "anchor", "name", "start").join(small.union(large), ["anchor", "name"])
-    starts = met.select("id", "key", F.explode(F.filter(F.transform("owners", lambda o, i: F.when(o < F.col("id"), F.col("start") + i)), lambda x: x.isNotNull())).alias("at"))
+    wide = runs.join(lowest, "run").groupBy("anchor", "name").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "low"))), lambda x: x["low"]).alias("owners"))
+
+    # An anchor and the hash of a stretch's words, 128 bits together, stand for the words from here on; what tells rows of one
+    # id apart and the place of the stretch share a long, 32 bits each.
+    met = found.select("id", F.shiftleft("key", 32).bitwiseOR(F.col("start")).alias("at"), "anchor", "name").join(small.union(wide), ["anchor", "name"])
+    starts = met.select("id", F.explode(F.filter(F.transform("owners", lambda o, i: F.when(o < F.col("id"), F.col("at") + i)), lambda x: x.isNotNull())).alias("at"))
+    starts = starts.select("id", F.shiftrightunsigned("at", 32).alias("key"), F.col("at").bitwiseAND(0xFFFFFFFF).alias("at"))
+    keyed = keyed.withColumn("key", F.col("key").bitwiseAND(0xFFFFFFFF))
     return _apply(keyed, starts, window).withColumnRenamed("id", id_col)
 
 
