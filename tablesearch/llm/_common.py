@@ -41,21 +41,24 @@ def fold(id_col: str, buckets: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % F.lit(buckets)
 
 
-def text_chunks(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of the batches whose texts have at most max_bytes together (or are one row), with the texts; null is ''."""
+def chunks(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches whose texts have at most max_bytes together, or are one row."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        texts = batch.column(column)
-        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         start, n = 0, batch.num_rows
         while start < n:
             done = int(ends[start - 1]) if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, done + max_bytes, side="right")))
-            yield batch.slice(start, stop - start), ["" if t is None else t for t in texts.slice(start, stop - start).to_pylist()]
+            yield batch.slice(start, stop - start)
             start = stop
 
 
+def text_chunks(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """chunks with their texts as Python strings; null is ''."""
+    for batch in chunks(batches, column, max_bytes):
+        yield batch, ["" if t is None else t for t in batch.column(column).to_pylist()]
+
+
 class Codes(dict):
     """Dense numbers for keys in order of first sight: codes[key] adds what is missing."""
 

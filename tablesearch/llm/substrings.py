@@ -13,11 +13,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import Codes, cut, text_chunks
+from ._common import chunks, cut, text_chunks
 
 #: Words of the runs whose hash can be an anchor.
 ANCHOR = 5
@@ -41,32 +42,66 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-class Hasher:
-    """64-bit hashes of words, remembered up to a bound."""
-
-    def __init__(self, most: int = 500_000):
-        self.most = most
-        self.clear()
-
-    def clear(self) -> None:
-        self.codes, self.known, self.hash = Codes(), 0, np.zeros(1 << 14, np.uint64)
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self.codes) > self.most:
-            self.clear()
-        codes = self.codes.of(words)
-        if (n := len(self.codes)) > self.known:
-            if n > len(self.hash):
-                self.hash = np.concatenate([self.hash, np.zeros(max(len(self.hash), n - len(self.hash)), np.uint64)])
-            new = [w for w, _ in zip(reversed(self.codes), range(n - self.known))][::-1]
-            self.hash[self.known : n] = [xxhash.xxh3_64_intdigest(w) for w in new]
-            self.known = n
-        return self.hash[codes]
+#: Text whose word hashes are computed at a time; the tables of powers have as many entries.
+BLOCK_BYTES = 1 << 20
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
 @lru_cache(maxsize=1)
-def _hasher() -> Hasher:
-    return Hasher()
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """_B**i and its inverse modulo 2**64."""
+    inverse = np.uint64(pow(int(_B), -1, 1 << 64))
+    with np.errstate(over="ignore"):
+        return tuple(np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(BLOCK_BYTES, x, np.uint64))]) for x in (_B, inverse))
+
+
+def _word_hash(word: bytes) -> int:
+    """The sum of (byte + 1) * _B**place modulo 2**64."""
+    value, power = 0, 1
+    for byte in word:
+        value = (value + (byte + 1) * power) & 0xFFFFFFFFFFFFFFFF
+        power = power * int(_B) & 0xFFFFFFFFFFFFFFFF
+    return value
+
+
+class Words:
+    """The words of the texts of a batch: where they lie in its bytes, the row they are of, and a hash of each."""
+
+    def __init__(self, texts: pa.Array):
+        texts = texts.cast(pa.large_binary()).fill_null(b"")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+        self.data = b"".join(texts.to_pylist())
+        data = np.frombuffer(self.data, np.uint8)
+        solid = ~_SPACE[data]
+        before = np.concatenate([[True], ~solid[:-1]]) if len(data) else solid
+        after = np.concatenate([~solid[1:], [True]]) if len(data) else solid
+        before[begins[begins < len(data)]] = True
+        after[ends[ends > 0] - 1] = True
+        self.start, self.end = np.flatnonzero(solid & before), np.flatnonzero(solid & after) + 1
+        self.row = np.searchsorted(ends, self.start, side="right")
+        self.first = np.searchsorted(self.row, np.arange(len(texts)))  # the first word of each row
+        with np.errstate(over="ignore"):
+            if len(data) <= BLOCK_BYTES:
+                up, down = _powers()
+                sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)])])
+                value = (sums[self.end] - sums[self.start]) * down[self.start]
+            else:  # one long text: distinct words one by one, so that memory stays near the text's size
+                known: dict[bytes, int] = {}
+                value = np.empty(len(self.start), np.uint64)
+                for i, (s, e) in enumerate(zip(self.start.tolist(), self.end.tolist(), strict=True)):
+                    word = self.data[s:e]
+                    if (h := known.get(word)) is None:
+                        h = known[word] = _word_hash(word)
+                    value[i] = h
+            self.hash = _mix(value)
+
+    def anchors(self, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of all windows that lie in one row: their places, their anchors' hashes and places."""
+        least, place = anchors(self.hash, window)
+        at = np.flatnonzero(self.row[: len(least)] == self.row[window - 1 :]) if len(least) else np.zeros(0, np.int64)
+        return at, least[at], place[at]
 
 
 def anchors(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -88,21 +123,15 @@ def anchors(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     return least, place
 
 
-def _each_document(batches: Iterator[pa.RecordBatch]):
-    """Batch slices with the words of each text and their hashes."""
-    hasher = _hasher()
-    for batch, texts in text_chunks(batches, "text"):
-        words = [t.encode().split() for t in texts]
-        hashes = hasher.of([w for x in words for w in x])
-        yield batch, words, np.split(hashes, np.cumsum([len(x) for x in words])[:-1])
-
-
 def _anchor_rows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, _, hashes in _each_document(batches):
-            found = [np.unique(anchors(h, window)[0]) for h in hashes]
-            at = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), batch.column("id").take(at)], ["anchor", "id"])
+        for batch in chunks(batches, "text", BLOCK_BYTES):
+            words = Words(batch.column("text"))
+            at, least, _ = words.anchors(window)
+            row = words.row[at]
+            if len(at):
+                new = np.concatenate([[True], (least[1:] != least[:-1]) | (row[1:] != row[:-1])])
+                yield pa.RecordBatch.from_arrays([pa.array(least[new].view(np.int64)), batch.column("id").take(pa.array(row[new]))], ["anchor", "id"])
 
     return run
 
@@ -158,24 +187,26 @@ def _stretches(window: int, n_bits: int, shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = [None if b is None else np.frombuffer(b, "<i8") for b in shared.value]
-        for batch, words, hashes in _each_document(batches):
-            rows, first, anchor, texts = [], [], [], []
-            for i, h in enumerate(hashes):
-                least, place = anchors(h, window)
-                if not len(least):
-                    continue
-                starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-                ends = np.append(starts[1:], len(least))
-                keep = _passes(filters, n_bits, least[starts])
-                for s, e in zip(starts[keep].tolist(), ends[keep].tolist(), strict=True):
-                    texts.append(b" ".join(words[i][s : e + window - 1]))
-                    first.append(s)
-                rows.append(np.full(int(keep.sum()), i))
-                anchor.append(least[starts[keep]])
-            if first:
-                at = pa.array(np.concatenate(rows))
-                name = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column("id").take(at), batch.column("key").take(at), pa.array(np.concatenate(anchor).view(np.int64)), pa.array(name), pa.array(first, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())], ["id", "key", "anchor", "name", "start", "words"])
+        for batch in chunks(batches, "text", BLOCK_BYTES):
+            words = Words(batch.column("text"))
+            at, least, place = words.anchors(window)
+            if not len(at):
+                continue
+            new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (words.row[at[1:]] != words.row[at[:-1]])]))
+            last = np.append(new[1:], len(at)) - 1
+            keep = _passes(filters, n_bits, least[new])
+            first, final = at[new[keep]], at[last[keep]] + window - 1
+            if not len(first):
+                continue
+            data = words.data
+            texts = [b" ".join(data[s:e].split()) for s, e in zip(words.start[first].tolist(), words.end[final].tolist(), strict=True)]
+            name = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64).view(np.int64)
+            row = words.row[first]
+            where = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").take(where), batch.column("key").take(where), pa.array(least[new[keep]].view(np.int64)), pa.array(name), pa.array(first - words.first[row]), pa.array(texts, pa.binary()).cast(pa.string())],
+                ["id", "key", "anchor", "name", "start", "words"],
+            )
 
     return run
 

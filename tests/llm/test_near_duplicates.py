@@ -170,6 +170,21 @@ def removed(rows, window=13):
     return sorted(out, key=str)
 
 
+def test_words_and_hashes(monkeypatch):
+    import pyarrow as pa
+
+    texts = ["ab c\tab", None, "", " ", "ab", "ab\x1fc é\x0b\x0c\r\n ab ", "c"]
+    want = [(i, w) for i, t in enumerate(texts) for w in (t or "").encode().split()]
+    hashes = []
+    for limit in (1 << 20, 3):  # at once, and word by word as for one long text
+        monkeypatch.setattr(substrings, "BLOCK_BYTES", limit)
+        words = substrings.Words(pa.array(texts))
+        assert [(r, words.data[s:e]) for r, s, e in zip(words.row.tolist(), words.start.tolist(), words.end.tolist())] == want
+        hashes.append(words.hash.tolist())
+        monkeypatch.undo()
+    assert hashes[0] == hashes[1] and len(set(hashes[0])) == len({w for _, w in want})
+
+
 @pytest.mark.parametrize("shard,bits", [(2000, 16), (2, 16), (2000, 0)])
 def test_substrings(spark, near_texts, shard, bits, monkeypatch):
     monkeypatch.setattr(substrings, "SHARD", shard)
