@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -103,7 +104,7 @@ class Pieces:
         new = list(self.codes)[self.known :] if not self.known else [k for k, _ in zip(reversed(self.codes), range(len(self.codes) - self.known))][::-1]
         ids = self.encode(new)
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum()))
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
         n, used = len(self.codes), self.used + len(flat)
         if n > len(self.start):
             self.start, self.length = (np.concatenate([x, np.zeros(max(len(x), n - len(x)), np.int64)]) for x in (self.start, self.length))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -23,17 +25,80 @@ SAMPLE_DOCS, DICTIONARY_BYTES = 1000, 64 << 10
 SHARD_BYTES = 4 << 20
 
 
+#: A word of letters with signs after it: two pre-tokens at most, unless an apostrophe or a special token is in it.
+_PLAIN = re.compile(rb"([A-Za-z\x80-\xff]+)([!-&(-/:;=>?@[-`{-~]*)").fullmatch
+
+
+class WordEncoder:
+    """Ids of space-free words, as the tokenizer gives them for the whole text: it drops white space and joins nothing across.
+
+    Words of Latin letters, which the normalizer only lower-cases, go to the tokenizer's model directly, once for each
+    form; a run of signs after them is a pre-token of its own. All other words go through the whole tokenizer.
+    """
+
+    def __init__(self, path: str, most: int = 500_000):
+        spec = json.load(open(path, encoding="utf-8"))
+        kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        split = str((spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0].get("pattern"))
+        self.direct = kinds == ["NFC", "Replace", "Lowercase"] and r"[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+" in split
+        self.tokenizer, self.most, self.forms, self.signs = _tokenizer(path), most, {}, {}
+        # Byte-level vocabularies write printable Latin-1 bytes as themselves and the others as code points from 256 on.
+        kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.letters = {b: b if b in kept else 256 + n for n, b in enumerate(x for x in [*[x for x in range(256) if x not in kept], *kept])}
+
+    def split(self, text: bytes) -> list[bytes]:
+        """The words of a text; in lower case where that changes no id, so that fewer words differ. It could change one beside
+        a combining mark (UTF-8 bytes from CC or CD on), which composes with some letters in one case only, and in what looks
+        like a special token."""
+        if self.direct and b"<|" not in text and b"\xcc" not in text and b"\xcd" not in text:
+            text = text.lower()
+        return text.split()
+
+    def whole(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+
+    def __call__(self, words: list[bytes]) -> list[list[int]]:
+        if not self.direct:
+            return self.whole([w.decode() for w in words])
+        if len(self.forms) > self.most:
+            self.forms.clear()
+        out, rest, forms, signs, letters, model = [None] * len(words), [], self.forms, self.signs, self.letters, self.tokenizer.model.tokenize
+        for i, word in enumerate(words):
+            if m := _PLAIN(word):
+                stem, tail = m.groups()
+                ids = forms.get(stem)
+                if ids is None:
+                    form = stem.decode().lower()
+                    if form.isascii():
+                        ids = forms[stem] = [t.id for t in model(form)]
+                    elif form.isalpha() and max(form) < "\u0250":
+                        ids = forms[stem] = [t.id for t in model(form.encode().decode("latin-1").translate(letters))]
+                    else:
+                        rest.append(i)
+                        continue
+                if tail:
+                    if (more := signs.get(tail)) is None:
+                        more = self.whole([tail.decode()])[0]
+                        if len(tail) < 9:
+                            signs[tail] = more
+                    ids = ids + more
+                out[i] = ids
+            else:
+                rest.append(i)
+        for i, ids in zip(rest, self.whole([words[i].decode() for i in rest]) if rest else [], strict=True):
+            out[i] = ids
+        return out
+
+
 @lru_cache(maxsize=1)
 def _words(path: str) -> tuple[Pieces, bool]:
-    """Ids of space-free words: the tokenizer drops white space and never joins across it, so words can be encoded apart."""
-    t = _tokenizer(path)
-    return Pieces(lambda words: [e.ids for e in t.encode_batch([w.decode() for w in words], add_special_tokens=False)]), t.get_vocab_size() <= 1 << 16
+    return Pieces(WordEncoder(path), 900_000), _tokenizer(path).get_vocab_size() <= 1 << 16
 
 
 def encode_texts(path: str, texts: list[str], end_id: int | None) -> list[np.ndarray]:
     """Ids of each text, with end_id after them if one is given."""
     pieces, _ = _words(path)
-    words = [t.encode().split() for t in texts]
+    words = [pieces.encode.split(t.encode()) for t in texts]
     ids, lengths = pieces.ids_of([w for x in words for w in x])
     ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([len(x) for x in words])]
     out = np.split(ids, ends[:-1])
@@ -103,7 +168,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, id_col:
                        token counts in the order of the payload. A short document is had by one slice and one frame.
 
     folder is any place Spark can write. A null text gives end_id alone (no ids without one). Null document ids come first;
-    documents with equal ids are neighbours, by text. An empty table gives no shards. Other columns are ignored.
+    documents with equal ids are neighbours, by a hash of the text. An empty table gives no shards. Other columns are ignored.
     """
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -116,8 +181,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, id_col:
         dictionary = b""
     spark.createDataFrame([(hashlib.sha256(dictionary).hexdigest(), dictionary)], "hash string, dictionary binary").write.parquet(f"{folder}/dictionary")
     kind = base.schema["id"].dataType
-    ordered = base.repartitionByRange("id", "text") if total else base
-    shards = ordered.sortWithinPartitions("id", "text").mapInArrow(
+    base = base.withColumn("hash", F.xxhash64("text"))  # ranges are fitted to a sample of ids and hashes, never of texts
+    ordered = base.repartitionByRange("id", "hash") if total else base
+    shards = ordered.sortWithinPartitions("id", "hash", "text").select("id", "text").mapInArrow(
         _shards(tokenizer_path, end_id, spark.sparkContext.broadcast(dictionary), shard_bytes, pa.int64() if kind.simpleString() == "bigint" else pa.string() if kind.simpleString() == "string" else pa.int32()),
         f"part long, shard long, dictionary string, id_bytes int, docs array<{kind.simpleString()}>, offsets array<long>, lengths array<long>, n_tokens array<long>, payload binary",
     )
