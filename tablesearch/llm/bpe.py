@@ -19,6 +19,10 @@ from ._common import Pieces, text_chunks
 from .token_counts import PRE_TOKEN
 
 
+#: Token pairs and words whose merges a worker remembers.
+PAIRS, WORDS = 200_000, 400_000
+
+
 class MergeReplay:
     """Applies the merges of a rank file to many words at once.
 
@@ -41,6 +45,8 @@ class MergeReplay:
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
         ranks, out = self.ranks, [None] * len(words)
+        if len(self.pairs) > PAIRS:
+            self.pairs.clear()
         todo = []
         for i, w in enumerate(words):
             if (whole := ranks.get(w)) is not None:
@@ -133,7 +139,7 @@ class Codec:
     def __init__(self, path: str, pattern: str = PRE_TOKEN):
         self.replay = MergeReplay(load_ranks(path))
         self.find = regex.compile(pattern).findall
-        self.pieces = Pieces(lambda words: self.replay.encode([w.encode() for w in words]))
+        self.pieces = Pieces(lambda words: self.replay.encode([w.encode() for w in words]), WORDS)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         words = [self.find(t) for t in texts]

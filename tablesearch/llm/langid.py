@@ -56,7 +56,7 @@ class Model:
 class Scorer:
     """Sums of word scores of many texts; the words met are remembered up to a bound."""
 
-    def __init__(self, model: Model, max_words: int = 400_000):
+    def __init__(self, model: Model, max_words: int = 250_000):
         self.model, self.max_words = model, max_words
         self.clear()
 
