@@ -21,9 +21,11 @@ K1, B = 1.2, 0.75
 #: Words of a passage and between the starts of two; items are indexed in parts of at most PASSAGE words, of which some
 #: passage holds three quarters.
 PASSAGE, STRIDE = 48, 24
-#: A passage retrieves an item's part from this share of the part's score against itself on.
-RETRIEVE = 0.5
-#: A document has an item if it holds this share of the question's and of the answer's word runs of up to RUN words.
+#: A passage retrieves an item's part from this share of the part's score against itself on; under QUESTION, as half of the
+#: runs may be less than half of the score.
+RETRIEVE = 0.35
+#: A document has an item if it holds this share of the question's and of the answer's word runs of up to RUN words; of an
+#: item without a marked answer, of all its runs.
 QUESTION, ANSWER, RUN = 0.5, 0.5, 4
 #: Neighbouring parts share a block, which has one bound of a term's weights; there are at most BLOCKS.
 BLOCK, BLOCKS = 4, 64
@@ -32,8 +34,8 @@ SLICE = STRIDE * 4096
 #: Text of test items in one index; a larger benchmark is several indexes, each broadcast and run by itself.
 INDEX_BYTES = 4 << 20
 _WORDS = re.compile(r"[^\W_]+")
-_ANSWER = re.compile(r"(?is)^(.*?)\n?\s*(?:answer|a)\s*:\s*(.+)$")
-_SENTENCE = re.compile(r"(?s)^(.*[.!?])\s+(\S.*)$")
+#: "Answer:" where a word starts; "A:" where a line or a sentence does.
+_ANSWER = re.compile(r"(?is)^(.*?)(?:(?<![^\W_])answer|(?:^|[\n.!?])\s*a)\s*:\s*(.+)$")
 
 
 def words_of(text: str) -> list[str]:
@@ -41,8 +43,8 @@ def words_of(text: str) -> list[str]:
 
 
 def question_and_answer(text: str) -> tuple[list[str], list[str]]:
-    """The words before and after "Answer:" or "A:"; without it the last sentence is the answer, of one sentence all is both."""
-    m = _ANSWER.match(text) or _SENTENCE.match(text.strip())
+    """The words before and after "Answer:" or "A:"; of a text without such a mark all words are both."""
+    m = _ANSWER.match(text)
     parts = (words_of(m[1]), words_of(m[2])) if m else ([], [])
     return parts if all(parts) else (words_of(text),) * 2
 

@@ -131,6 +131,34 @@ def test_leak_edges(spark):
     assert sorted(r["doc_id"] for r in left.collect()) == [2, 3, 4, 6] and left.columns == docs.columns
 
 
+def test_leaks_of_plain_items_in_part(spark):
+    """Items without a marked answer: one edited word, a missing last sentence, a colon that marks no answer, half of the words."""
+    first = " ".join(f"moon{i}" for i in range(14))
+    bench = [(1, f"{first}. The keeper saw copper."), (2, f"Formula: {' '.join(f'wheat{i}' for i in range(12))}. Vitamin A: barley rises."), (3, f"{' '.join(f'river{i}' for i in range(20))}. Stone.")]
+    noise = " ".join(f"noise{i}" for i in range(100))
+    texts = {
+        1: bench[0][1].replace("saw", "found"),
+        2: f"{first}.",
+        3: bench[1][1].replace("Vitamin", "mineral"),
+        4: bench[1][1].split(". Vitamin")[0],
+        5: bench[2][1].rsplit(". ", 1)[0],
+        6: " ".join(bench[2][1].split()[:14]),
+        7: " ".join(bench[2][1].split()[:8]),
+        8: "Formula: the keeper saw copper. Vitamin A: barley rises. Stone.",
+    }
+    docs = spark.createDataFrame([(i, f"{noise} {t} {noise}") for i, t in texts.items()], "doc_id long, text string")
+    got = decontaminate.find_leaks(docs, spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(1, 1), (2, 1), (3, 2), (4, 2), (5, 3), (6, 3)]
+
+
+def test_marked_answers():
+    split = lambda t: tuple(" ".join(p) for p in decontaminate.question_and_answer(t))
+    for marked in ("Who came? Answer: the king", "Who came\nANSWER : the king", "Who came? A: the king", "Who came\n a: the king"):
+        assert split(marked) == ("who came", "the king")
+    for whole in ("Formula: one. Two three.", "Vitamin A: one two", "Answer: one two", "One two. Three"):
+        assert split(whole) == (" ".join(decontaminate.words_of(whole)),) * 2
+
+
 def test_leaks_of_a_benchmark_in_many_indexes(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "INDEX_BYTES", 60)
     items = [(i, " ".join(f"a{i}b{k}" for k in range(12))) for i in range(9)]
