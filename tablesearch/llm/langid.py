@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from ._common import Codes, fold, text_chunks
 
-#: Bounds of the fit: labelled documents it reads (by hash, each language in proportion but FLOOR at least), words and
-#: n-grams it keeps of each language, and languages it learns (the most frequent).
+#: Bounds of the fit: distinct labelled texts it learns from (by hash, each language in proportion but FLOOR at least, or all
+#: it has), words and n-grams it keeps of each language, and languages it learns (the most frequent).
 SAMPLE_DOCS, FLOOR, MAX_WORDS, MAX_GRAMS, MAX_LANGUAGES = 20_000, 500, 30_000, 10_000, 200
 LONGEST = 4
 UNKNOWN = "und"
@@ -133,16 +133,18 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Model:
     """Learn from labelled rows; null texts, null and empty languages teach nothing.
 
-    Whole texts of about sample_docs rows are read. Words and n-grams are counted by Spark; what comes to the driver is
+    Whole texts of about sample_docs rows are read; copies of a text in a language are one row, so they neither decide whether
+    a language is learnt nor outweigh its other texts. Words and n-grams are counted by Spark; what comes to the driver is
     bounded by MAX_LANGUAGES and by MAX_WORDS and MAX_GRAMS of each language. No rows: a model that knows no language.
     """
-    rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("text is not null and lang is not null and lang <> ''")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
+    rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("text is not null and lang is not null and lang <> ''").withColumn("hash", F.xxhash64("text"))
+    texts = rows.groupBy("lang", "hash").agg(F.count("*").alias("n"))
+    sizes = {r["lang"]: r["texts"] for r in texts.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("texts")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
     if not sizes:
         return Model([], {}, [{} for _ in range(LONGEST)], np.zeros(0))
     share = sample_docs / sum(sizes.values())
     rates = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(int((1 << 32) * min(1.0, max(share, FLOOR / n)))))])
-    picked = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 32)) < rates[F.col("lang")])
+    picked = rows.filter(F.pmod("hash", F.lit(1 << 32)) < rates[F.col("lang")]).groupBy("lang", "hash").agg(F.first("text").alias("text"))
     words = picked.mapInArrow(_counted, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).persist()
     top = lambda df, key, most: df.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), key))).filter(F.col("rank") <= most).select("lang", key, "n").collect()
     known = top(words.filter("n > 1"), "word", MAX_WORDS)

@@ -104,14 +104,15 @@ def fit(labelled: DataFrame) -> Model:
     rows = labelled.select(F.coalesce("text", F.lit("")).alias("text"), (F.col("toxic") == 1).cast("int").alias("toxic")).filter("toxic is not null").persist()
     split = F.pmod(F.xxhash64("text", F.lit(1)), F.lit(1000)) < int(1000 * CALIBRATION)
     try:
-        sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-        n_toxic, n_ordinary = sizes.get(1, 0), sizes.get(0, 0)
+        sizes = {(r["toxic"], r["check"]): r["n"] for r in rows.groupBy("toxic", split.alias("check")).agg(F.count("*").alias("n")).collect()}
+        n_toxic, n_ordinary = (sum(n for (toxic, _), n in sizes.items() if toxic == label) for label in (1, 0))
         if not n_toxic or not n_ordinary:
             share = (n_toxic + 0.5) / (n_toxic + n_ordinary + 1)
             odds = float(np.log(share / (1 - share))) if n_toxic + n_ordinary else -1.0
             return Model(b"", b"", (0.0,) * 5, (1.0,) * 5, (odds, *(0.0,) * 5))
-        # Words are counted in the dictionary's rows; where there are few, all rows serve both purposes.
-        few = n_toxic < 60
+        # Words are counted in the dictionary's rows; where there are few, or all of a class are in one part (the copies of a
+        # text are), all rows serve both purposes.
+        few = n_toxic < 60 or len(sizes) < 4
         learn, check = (rows, rows) if few else (rows.filter(~split), rows.filter(split))
         near = 1 if few else 1 - CALIBRATION
         counts = learn.mapInArrow(_words, "word string, toxic long, ordinary long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))

@@ -44,6 +44,28 @@ def test_language_edges(spark):
     assert kept.columns == docs.columns and kept.count() == 63 and kept.filter("doc_id is null").first()["lang"] == "de"
 
 
+def test_language_of_few_texts_in_many_copies(spark):
+    """A language of few texts in many copies is learnt, and a text in many copies counts once in its language."""
+    own = spark.range(60_000).select(F.concat(F.lit("the house number "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"))
+    copies = spark.range(30_000).select(F.lit("die katze sitzt auf der matte").alias("text"), F.lit("de").alias("lang"))
+    hot = spark.range(30_000).select(F.lit("zzz zzz zzz").alias("text"), F.lit("en").alias("lang"))
+    for sample in (2, 50, 2000):
+        model = langid.fit(own.union(copies).union(hot), sample_docs=sample)
+        assert model.languages == ["de", "en"]
+        assert model.words["the"][1] > model.words.get("zzz", model.unseen)[1] + 3
+
+
+def test_toxicity_of_few_texts_in_many_copies(spark):
+    """All copies of the one toxic text are in one part of the fit: on either side it is learnt."""
+    docs, labels = planted(2, 400)
+    for bad in ("mugwort dretchy", "vileskum grobnak", "grobnak mugwort", "dretchy vileskum"):
+        text = f"tari {bad} ri mon el {bad[::-1]} sha ke {bad} mon ri"
+        rows = [(t, 0) for (_, t), (_, y) in zip(docs, labels) if not y] + [(text, 1)] * 90
+        model = toxicity.fit(spark.createDataFrame(rows, "text string, toxic int"))
+        got = {r["doc_id"]: r["predicted"] for r in toxicity.score(spark.createDataFrame([(1, text), (2, "tari ri mon el sha ke")], "doc_id long, text string"), model).collect()}
+        assert got == {1: 1, 2: 0}
+
+
 def planted(seed=0, n=900):
     """Ordinary prose, of which a tenth has words that nobody else uses."""
     rng = random.Random(seed)
