@@ -11,6 +11,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,9 +20,9 @@ from ._common import fold, text_chunks
 
 #: Bounds of the fit: labelled rows of each class that it reads, by hash. CALIBRATION of them set the thresholds only.
 SAMPLE_TOXIC, SAMPLE_ORDINARY, CALIBRATION = 10_000, 20_000, 0.3
-#: A word of toxic rows goes into the toxic dictionary if it is in MIN_SHARE of them and MIN_ROWS at least, and RATIO times
-#: as common as in ordinary rows; at most MAX_WORDS do, the most common first.
-MIN_SHARE, MIN_ROWS, RATIO, MAX_WORDS = 0.02, 5, 10, 2000
+#: A word of toxic rows goes into the toxic dictionary if it is in MIN_ROWS distinct ones, RATIO times as common as in
+#: ordinary rows, and so clearly that of all words tested about one would be by chance; at most MAX_WORDS do, the clearest.
+MIN_ROWS, RATIO, MAX_WORDS = 5, 10, 2000
 #: Words of a window, bytes of the ordinary dictionary, rows it is drawn from, and zstandard's level.
 WINDOW, ORDINARY_BYTES, ORDINARY_ROWS, LEVEL = 32, 60_000, 400, 6
 _LETTERS = regex.compile(r"\p{L}+")
@@ -65,6 +66,18 @@ def features(text: str, ordinary: bytes, toxic: bytes) -> list[float]:
     return [float(saved[0]), float(sum(saved[:3])), float(np.log1p(over)), over / len(saved) ** 0.5, float(np.log(len(saved)))]
 
 
+def _shingled(seed: int):
+    """Adds the least hash of a text's five-word runs: near copies mostly have the same, other texts do not."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in text_chunks(batches, "text"):
+            words = (t.lower().encode().split() for t in texts)
+            least = [min(xxhash.xxh64_intdigest(b" ".join(w[i : i + 5]), seed) for i in range(max(1, len(w) - 4))) >> 1 for w in words]
+            yield pa.RecordBatch.from_arrays([batch.column("text"), batch.column("toxic"), pa.array(least, pa.int64())], ["text", "toxic", "least"])
+
+    return run
+
+
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, texts in text_chunks(batches, "text"):
         toxic, all_rows = Counter(), Counter()
@@ -97,11 +110,11 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 def fit(labelled: DataFrame) -> Model:
     """Learn from rows with text and toxic (0 or 1); a null label teaches nothing, a null text counts as empty.
 
-    Word counts are Spark aggregations over the sampled rows. To the driver come at most MAX_WORDS words, the text of about
+    Word counts are Spark aggregations over the sampled rows, where copies of a text count once. To the driver come at most MAX_WORDS words, the text of about
     ORDINARY_ROWS ordinary rows and five numbers for each calibration row. With rows of one class only, every score is that
     class's share, smoothed.
     """
-    rows = labelled.select(F.coalesce("text", F.lit("")).alias("text"), (F.col("toxic") == 1).cast("int").alias("toxic")).filter("toxic is not null").persist()
+    rows = labelled.select(F.coalesce("text", F.lit("")).alias("text"), (F.col("toxic") == 1).cast("int").alias("toxic")).filter("toxic is not null").distinct().persist()
     split = F.pmod(F.xxhash64("text", F.lit(1)), F.lit(1000)) < int(1000 * CALIBRATION)
     try:
         sizes = {(r["toxic"], r["check"]): r["n"] for r in rows.groupBy("toxic", split.alias("check")).agg(F.count("*").alias("n")).collect()}
@@ -114,12 +127,23 @@ def fit(labelled: DataFrame) -> Model:
         # text are), all rows serve both purposes.
         few = n_toxic < 60 or len(sizes) < 4
         learn, check = (rows, rows) if few else (rows.filter(~split), rows.filter(split))
-        near = 1 if few else 1 - CALIBRATION
-        counts = learn.mapInArrow(_words, "word string, toxic long, ordinary long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-        least = max(min(MIN_ROWS, n_toxic), MIN_SHARE * n_toxic * near)
-        marked = counts.filter((F.col("toxic") >= least) & (F.length("word") > 3) & (F.col("toxic") / (n_toxic * near) >= RATIO * (F.col("ordinary") + 0.5) / (n_ordinary * near)))
-        words = [r["word"] for r in marked.orderBy(F.desc("toxic"), "word").limit(MAX_WORDS).collect()]
-        rate = int((1 << 32) * min(1.0, ORDINARY_ROWS / (n_ordinary * near)))
+        # The rows of near copies are no evidence of their own: one of each counts.
+        apart = learn
+        for seed in (1, 2):
+            apart = apart.mapInArrow(_shingled(seed), "text string, toxic int, least long").groupBy("toxic", "least").agg(F.min("text").alias("text")).select("text", "toxic")
+        apart = apart.persist()
+        sizes = {r["toxic"]: r["n"] for r in apart.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+        n_toxic, n_ordinary = sizes[1], sizes[0]
+        counts = apart.mapInArrow(_words, "word string, toxic long, ordinary long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+        # exp(-clear) bounds the chance of so many toxic rows among a word's rows (Chernoff) were toxic rows like any others.
+        n, share = F.col("toxic") + F.col("ordinary"), n_toxic / (n_toxic + n_ordinary)
+        part = lambda k, p: F.when(k > 0, k * F.log(k / n / p)).otherwise(0.0)
+        tested = counts.filter(F.col("toxic") >= min(MIN_ROWS, n_toxic)).withColumn("clear", part(F.col("toxic"), share) + part(F.col("ordinary"), 1 - share)).persist()
+        marked = tested.filter((F.col("clear") >= float(np.log(max(1, tested.count())))) & (F.col("toxic") / n_toxic >= RATIO * (F.col("ordinary") + 0.5) / n_ordinary))
+        words = [r["word"] for r in marked.orderBy(F.desc("clear"), "word").limit(MAX_WORDS).collect()]
+        tested.unpersist()
+        apart.unpersist()
+        rate = int((1 << 32) * min(1.0, ORDINARY_ROWS / n_ordinary))
         plain = [r["text"] for r in learn.filter((F.col("toxic") == 0) & (F.pmod(F.xxhash64("text", F.lit(2)), F.lit(1 << 32)) < rate)).select("text").collect()]
         pieces = sorted({w for t in plain for w in windows(t)}, key=lambda w: (zlib.crc32(w), w))
         ordinary = b" ".join(pieces)[:ORDINARY_BYTES]

@@ -92,6 +92,28 @@ def test_toxicity_of_planted_documents(spark):
     assert sum(got[i]["predicted"] for i, y in held if y) >= 0.8 * sum(y for _, y in held)
 
 
+def test_toxicity_of_many_rare_words(spark):
+    """400 toxic words, each in under 1 % of the toxic rows; a third are of three letters, a third of two CJK characters."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice(["ta", "ri", "mon", "el", "sha", "ke"]) for _ in range(rng.randint(1, 4))) for _ in range(400)]
+    letters = lambda n: "".join(rng.choice("bdfgjpquvwxyz") for _ in range(n))
+    bad = sorted({[letters(8), letters(3), "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(2))][k % 3] for k in range(400)})
+    docs, labels, seen = [], [], {}
+    for i in range(7500):
+        text = [rng.choice(words) for _ in range(rng.randint(10, 30))]
+        for w in rng.sample(bad, 3) if i % 3 == 0 else ():
+            text.insert(rng.randrange(len(text)), w)
+            seen[w] = seen.get(w, 0) + 1
+        docs.append((i, " ".join(text)))
+        labels.append((i, int(i % 3 == 0)))
+    assert len(seen) > 300 and sum(n / 2500 < 0.01 for n in seen.values()) > 0.8 * len(seen) and max(seen.values()) / 2500 < 0.02
+    d, l = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score_held_out(d, l).filter("held_out").collect()}
+    toxic = [got[i] for i, y in labels if i in got and y]
+    clean = [got[i] for i, y in labels if i in got and not y]
+    assert sum(toxic) / len(toxic) > 0.8 and sum(clean) / len(clean) < 0.05
+
+
 def test_toxicity_edges(spark):
     docs, labels = planted(1, 300)
     docs += [(1000, None), (1001, ""), (1002, "tari " * 30000), (1002, "x"), (None, "ri mon")]
