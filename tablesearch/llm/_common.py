@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -74,7 +73,8 @@ class Codes(dict):
 class Pieces:
     """A worker's growing table from piece to id array, emptied when it is full, so its memory is bounded.
 
-    encode(list of new pieces) gives a list of id sequences. ids_of() gives the ids of a list of pieces end to end.
+    encode(list of new pieces) gives their ids end to end and the number of ids of each. ids_of() gives the ids of a
+    sequence of pieces.
     """
 
     def __init__(self, encode, max_pieces: int = 600_000):
@@ -86,25 +86,23 @@ class Pieces:
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.start, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
-    def ids_of(self, pieces: list) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all pieces in order, and the number of ids of each piece."""
+    def ids_of(self, pieces: list, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces[code] for all codes, end to end, and the number of ids of each."""
         if len(self.codes) > self.max_pieces:
             self.clear()
-        codes = self.codes.of(pieces)
+        own = self.codes.of(pieces)
         if len(self.codes) > self.known:
             self._learn()
-        lengths = self.length[codes]
+        own = own[codes]
+        lengths = self.length[own]
         ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        where = np.repeat(self.start[codes] - (ends - lengths), lengths)
-        where += np.arange(total)
+        where = np.repeat(self.start[own] - (ends - lengths), lengths)
+        where += np.arange(len(where))
         return self.flat[where], lengths
 
     def _learn(self) -> None:
         new = list(self.codes)[self.known :] if not self.known else [k for k, _ in zip(reversed(self.codes), range(len(self.codes) - self.known))][::-1]
-        ids = self.encode(new)
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
+        flat, lengths = self.encode(new)
         n, used = len(self.codes), self.used + len(flat)
         if n > len(self.start):
             self.start, self.length = (np.concatenate([x, np.zeros(max(len(x), n - len(x)), np.int64)]) for x in (self.start, self.length))

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import json
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -14,35 +14,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import Codes, cut, text_chunks
-
-#: The split that byte-level BPE vocabularies of this family apply before the merges.
-PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+from .words import PRE_TOKEN, Splitter, count_words, most_frequent
 
 #: The hot pre-tokens that may be broadcast with their counts (about 10 MB as a dictionary); all others are joined by a shuffle.
 HOT_PIECES = 100_000
-#: Distinct pre-tokens that a task adds up before it hands them on.
-COMBINE = 400_000
 
 
 @lru_cache(maxsize=2)
 def _splitter(path: str):
-    """A function from a text to (its pre-tokens, the number of special tokens in it), as the tokenizer file defines them."""
+    """As the tokenizer file defines them: a function from texts to (their distinct stretches, which of them each stretch is,
+    the stretches of each text, the special tokens in each), and one from a stretch to its pre-tokens."""
     spec = json.load(open(path, encoding="utf-8"))
     pre = spec["pre_tokenizer"]
     if spec["normalizer"] or pre["type"] != "ByteLevel" or pre["add_prefix_space"] or not pre.get("use_regex", True):
         raise ValueError("pre-token counts need a byte-level vocabulary without a normalizer or prefix space")
-    find = regex.compile(PRE_TOKEN).findall
+    splitter = Splitter(PRE_TOKEN)
     added = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
     cut_at = regex.compile("|".join(map(regex.escape, added))) if added else None
-    heads = tuple(added)
 
-    def split(text: str) -> tuple[list[str], int]:
-        if cut_at is None or not any(h in text for h in heads):
-            return find(text), 0
-        parts = cut_at.split(text)
-        return [p for part in parts for p in find(part)], len(parts) - 1
+    def split(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        parts = [cut_at.split(t) if cut_at and any(h in t for h in added) else [t] for t in texts]
+        per = np.fromiter(map(len, parts), np.int64, len(parts))
+        names, codes, counts = splitter.distinct(list(chain.from_iterable(parts)))
+        return names, codes, np.add.reduceat(counts, np.cumsum(per) - per) if len(per) else counts, per - 1
 
-    return split
+    return split, splitter.words
 
 
 @lru_cache(maxsize=2)
@@ -59,33 +55,17 @@ def _tokenizer(path: str):
 
 
 def _vocabulary(path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, seen = _splitter(path), Counter()
-
-        def flush():
-            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["piece", "n"])
-            seen.clear()
-            return out
-
-        for _, texts in text_chunks(batches, "text"):
-            for text in texts:
-                seen.update(split(text)[0])
-            if len(seen) > COMBINE:
-                yield flush()
-        if seen:
-            yield flush()
-
-    return run
+    return count_words(lambda: _splitter(path))
 
 
 def _counted(path: str):
-    """piece, n -> piece, n, tokens of the piece alone."""
+    """word, n -> word, n, tokens of the word alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _tokenizer(path).encode_batch
-        for batch, pieces in text_chunks(batches, "piece", 1 << 18):
-            tokens = [len(e.ids) for e in encode(pieces, add_special_tokens=False)]
-            yield pa.RecordBatch.from_arrays([batch.column("piece"), batch.column("n"), pa.array(tokens, pa.int64())], ["piece", "n", "tokens"])
+        for batch, words in text_chunks(batches, "word", 1 << 18):
+            tokens = [len(e.ids) for e in encode(words, add_special_tokens=False)]
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(tokens, pa.int64())], ["word", "n", "tokens"])
 
     return run
 
@@ -96,28 +76,30 @@ def _documents(path: str, hot):
     The first kind has a key of its own that is no pre-token (none has a digit beside a sign), so both go through one join.
     """
 
-    names_out = ["id", "key", "n_bytes", "piece", "n", "base"]
+    names_out = ["id", "key", "n_bytes", "word", "n", "base"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, known = _splitter(path), hot.value
+        (split, words_in), known = _splitter(path), hot.value
         for batch, texts in text_chunks(batches, "text"):
-            codes, parts, special = Codes(), [], np.zeros(len(texts), np.int64)
-            for i, text in enumerate(texts):
-                pieces, special[i] = split(text)
-                parts.append(codes.of(pieces))
-            names = list(codes)
-            tokens = np.fromiter((known.get(p, 0) for p in names), np.int64, len(names))
-            row = np.repeat(np.arange(len(texts)), [len(p) for p in parts])
-            flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-            sums = special + np.bincount(row, tokens[flat], len(texts)).astype(np.int64)
-            rare = tokens[flat] == 0
-            pair, freq = np.unique(row[rare] * max(len(names), 1) + flat[rare], return_counts=True)
-            at, piece = np.divmod(pair, max(len(names), 1))
-            own = pa.array([f"\0{i}" for i in range(len(texts))])
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), batch.column("n_bytes"), own, pa.array(sums), pa.array(np.ones(len(texts), np.int64))], names_out)
+            stretches, flat, counts, special = split(texts)
+            row = np.repeat(np.arange(len(texts)), counts)
+            # Of each distinct stretch: the tokens of its hot words, and its other words.
+            words = [words_in(s) for s in stretches]
+            own = np.repeat(np.arange(len(words)), [len(w) for w in words])
+            each = list(chain.from_iterable(words))
+            tokens = np.fromiter((known.get(w, 0) for w in each), np.int64, len(each))
+            sums = special + np.bincount(row, np.bincount(own, tokens, len(words))[flat], len(texts)).astype(np.int64)
+            names, rare = Codes(), np.flatnonzero(tokens == 0)
+            code, per = names.of([each[i] for i in rare.tolist()]), np.bincount(own[rare], minlength=len(words))
+            begin, times = np.cumsum(per) - per, per[flat]
+            place = np.repeat(begin[flat] - (np.cumsum(times) - times), times)
+            pair, freq = np.unique(np.repeat(row, times) * max(len(names), 1) + code[place + np.arange(len(place))], return_counts=True)
+            at, word = np.divmod(pair, max(len(names), 1))
+            marks = pa.array([f"\0{k}" for k in batch.column("key").to_pylist()])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), batch.column("n_bytes"), marks, pa.array(sums), pa.array(np.ones(len(texts), np.int64))], names_out)
             if len(pair):
                 at = pa.array(at)
-                yield pa.RecordBatch.from_arrays([batch.column("id").take(at), batch.column("key").take(at), batch.column("n_bytes").take(at), pa.array(names, pa.string()).take(pa.array(piece)), pa.array(freq.astype(np.int64)), pa.array(np.zeros(len(pair), np.int64))], names_out)
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(at), batch.column("key").take(at), batch.column("n_bytes").take(at), pa.array(list(names), pa.string()).take(pa.array(word)), pa.array(freq.astype(np.int64)), pa.array(np.zeros(len(pair), np.int64))], names_out)
 
     return run
 
@@ -138,23 +120,14 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     """
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    vocabulary = base.select("text").mapInArrow(_vocabulary(tokenizer_path), "piece string, n long")
-    vocabulary = cut(vocabulary.groupBy("piece").agg(F.sum("n").alias("n")).mapInArrow(_counted(tokenizer_path), "piece string, n long, tokens long"), "pieces")
-
-    # The lowest frequency at which at most hot_pieces pre-tokens are left: one row per distinct frequency is looked at.
-    by_n = vocabulary.groupBy("n").agg(F.count("*").alias("pieces")).orderBy(F.desc("n")).limit(hot_pieces).collect()
-    least, left = None, hot_pieces
-    for row in by_n:
-        left -= row["pieces"]
-        if left < 0:
-            break
-        least = row["n"]
-    # A piece of no token at all would look unknown; byte-level vocabularies have none.
-    hot = {r[0]: r[1] for r in vocabulary.filter((F.col("n") >= least) & (F.col("tokens") > 0)).select("piece", "tokens").collect()} if least is not None else {}
+    vocabulary = base.select("text").mapInArrow(_vocabulary(tokenizer_path), "word string, n long")
+    vocabulary = cut(vocabulary.groupBy("word").agg(F.sum("n").alias("n")).mapInArrow(_counted(tokenizer_path), "word string, n long, tokens long"), "pieces")
+    # A word of no token at all would look unknown; byte-level vocabularies have none.
+    hot = {r[0]: r[1] for r in most_frequent(vocabulary, hot_pieces).filter("tokens > 0").select("word", "tokens").collect()}
 
     keyed = base.select("id", F.xxhash64("text").alias("key"), F.octet_length("text").cast("long").alias("n_bytes"), "text")
-    parts = keyed.mapInArrow(_documents(tokenizer_path, spark.sparkContext.broadcast(hot)), f"id {base.schema['id'].dataType.simpleString()}, key long, n_bytes long, piece string, n long, base long")
-    joined = parts.join(vocabulary.select("piece", "tokens"), "piece", "left").withColumn("n", F.col("n") * F.when(F.col("base") == 1, F.lit(1)).otherwise(F.col("tokens")))
+    parts = keyed.mapInArrow(_documents(tokenizer_path, spark.sparkContext.broadcast(hot)), f"id {base.schema['id'].dataType.simpleString()}, key long, n_bytes long, word string, n long, base long")
+    joined = parts.join(vocabulary.select("word", "tokens"), "word", "left").withColumn("n", F.col("n") * F.when(F.col("base") == 1, F.lit(1)).otherwise(F.col("tokens")))
     sums = joined.groupBy("id", "key", "n_bytes").agg(F.sum("n").alias("n"), F.sum("base").alias("rows"))
     each = sums.select("id", "n_bytes", (F.col("n") / F.col("rows")).cast("long").alias("n_tokens"), F.explode(F.array_repeat(F.lit(0), F.col("rows").cast("int"))))
     return each.select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
