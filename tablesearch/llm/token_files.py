@@ -9,18 +9,21 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import Pieces, checkpoint_dir, text_chunks
+from ._common import Codes, Pieces, checkpoint_dir, text_chunks
 from .token_counts import _tokenizer
 
-#: Documents of which the dictionary is trained (whole ids), and its size. The only bounded sample; every document is written.
-SAMPLE_DOCS, DICTIONARY_BYTES = 1000, 64 << 10
+#: Documents of which the dictionary is trained, the most bytes of ids that it sees of one, and its size. The only bounded
+#: sample; every document is written.
+SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 32 << 10, 64 << 10
 #: Compressed bytes of a shard's payload, after which the next one begins. A longer document is a shard of its own.
 SHARD_BYTES = 4 << 20
 
@@ -32,76 +35,77 @@ _PLAIN = re.compile(rb"([A-Za-z\x80-\xff]+)([!-&(-/:;=>?@[-`{-~]*)").fullmatch
 class WordEncoder:
     """Ids of space-free words, as the tokenizer gives them for the whole text: it drops white space and joins nothing across.
 
-    Words of Latin letters, which the normalizer only lower-cases, go to the tokenizer's model directly, once for each
-    form; a run of signs after them is a pre-token of its own. All other words go through the whole tokenizer.
+    Words of Latin letters, which the normalizer only lower-cases, go to the tokenizer's model directly; a run of signs after
+    them is a pre-token of its own. All other words go through the whole tokenizer. A tokenizer that is not known to work in
+    this way gets whole texts.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str):
         spec = json.load(open(path, encoding="utf-8"))
         kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
         split = str((spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0].get("pattern"))
         self.direct = kinds == ["NFC", "Replace", "Lowercase"] and r"[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+" in split
-        self.tokenizer, self.most, self.forms, self.signs = _tokenizer(path), most, {}, {}
+        self.tokenizer = _tokenizer(path)
         # Byte-level vocabularies write printable Latin-1 bytes as themselves and the others as code points from 256 on.
         kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.letters = {b: b if b in kept else 256 + n for n, b in enumerate(x for x in [*[x for x in range(256) if x not in kept], *kept])}
 
-    def split(self, text: bytes) -> list[bytes]:
-        """The words of a text; in lower case where that changes no id, so that fewer words differ. It could change one beside
-        a combining mark (UTF-8 bytes from CC or CD on), which composes with some letters in one case only, and in what looks
-        like a special token."""
-        if self.direct and b"<|" not in text and b"\xcc" not in text and b"\xcd" not in text:
-            text = text.lower()
-        return text.split()
-
-    def whole(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-
-    def __call__(self, words: list[bytes]) -> list[list[int]]:
+    def distinct(self, texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The distinct words of the texts; for each word in order, which of them it is; the words of each text. They are in lower
+        case where that changes no id, so that fewer words differ. It could change one beside a combining mark (UTF-8 bytes from
+        CC or CD on), which composes with some letters in one case only, and in what looks like a special token. For a tokenizer
+        that is not known each text is one word."""
+        raw = [t.encode() for t in texts]
+        if self.direct:
+            lists = pc.ascii_split_whitespace(pa.array([t if b"<|" in t or b"\xcc" in t or b"\xcd" in t else t.lower() for t in raw], pa.binary()).cast(pa.string()))
+            found, counts = lists.flatten().cast(pa.binary()).dictionary_encode(), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        else:
+            found, counts = pa.array(raw, pa.binary()).dictionary_encode(), np.ones(len(texts), np.int64)
+        return found.dictionary.to_numpy(zero_copy_only=False).tolist(), found.indices.to_numpy().astype(np.int64), counts
+
+    def one_by_one(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)] if words else []
+
+    def stem(self, word: str) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(word if word.isascii() else word.encode().decode("latin-1").translate(self.letters))]
+
+    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words end to end, and their number for each word."""
         if not self.direct:
-            return self.whole([w.decode() for w in words])
-        if len(self.forms) > self.most:
-            self.forms.clear()
-        out, rest, forms, signs, letters, model = [None] * len(words), [], self.forms, self.signs, self.letters, self.tokenizer.model.tokenize
+            return _flat(self.one_by_one([w.decode() for w in words]))
+        stems, others = Codes(), Codes({"": 0})
+        place = np.zeros((len(words), 2), np.int64)  # of each word's two parts: n is the n-th stem, -1 - n the n-th other piece
         for i, word in enumerate(words):
             if m := _PLAIN(word):
-                stem, tail = m.groups()
-                ids = forms.get(stem)
-                if ids is None:
-                    form = stem.decode().lower()
-                    if form.isascii():
-                        ids = forms[stem] = [t.id for t in model(form)]
-                    elif form.isalpha() and max(form) < "\u0250":
-                        ids = forms[stem] = [t.id for t in model(form.encode().decode("latin-1").translate(letters))]
-                    else:
-                        rest.append(i)
-                        continue
-                if tail:
-                    if (more := signs.get(tail)) is None:
-                        more = self.whole([tail.decode()])[0]
-                        if len(tail) < 9:
-                            signs[tail] = more
-                    ids = ids + more
-                out[i] = ids
-            else:
-                rest.append(i)
-        for i, ids in zip(rest, self.whole([words[i].decode() for i in rest]) if rest else [], strict=True):
-            out[i] = ids
-        return out
+                stem = m[1].decode().lower()
+                if stem.isascii() or stem.isalpha() and max(stem) < "\u0250":
+                    place[i] = stems[stem], -1 - others[m[2].decode()]
+                    continue
+            place[i] = -1, -1 - others[word.decode()]  # no stem: the empty piece
+        ids, sizes = _flat([*map(self.stem, stems), *self.one_by_one(list(others))])
+        place = np.where(place < 0, len(stems) - 1 - place, place).ravel()
+        starts, lengths = np.cumsum(sizes) - sizes, sizes[place]
+        where = np.repeat(starts[place] - (np.cumsum(lengths) - lengths), lengths)
+        return ids[where + np.arange(len(where))], lengths.reshape(-1, 2).sum(axis=1)
+
+
+def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+    return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
 
 
 @lru_cache(maxsize=1)
 def _words(path: str) -> tuple[Pieces, bool]:
-    return Pieces(WordEncoder(path), 900_000), _tokenizer(path).get_vocab_size() <= 1 << 16
+    return Pieces(WordEncoder(path), 700_000), _tokenizer(path).get_vocab_size() <= 1 << 16
 
 
 def encode_texts(path: str, texts: list[str], end_id: int | None) -> list[np.ndarray]:
     """Ids of each text, with end_id after them if one is given."""
     pieces, _ = _words(path)
-    words = [pieces.encode.split(t.encode()) for t in texts]
-    ids, lengths = pieces.ids_of([w for x in words for w in x])
-    ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([len(x) for x in words])]
-    out = np.split(ids, ends[:-1])
+    names, codes, counts = pieces.encode.distinct(texts)
+    ids, lengths = pieces.ids_of(names, codes)
+    ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(counts)]
+    out = np.split(ids, ends[:-1]) if len(ends) else []
     return out if end_id is None else [np.append(x, np.uint32(end_id)) for x in out]
 
 
@@ -113,12 +117,12 @@ def _samples(path: str, end_id: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in text_chunks(batches, "text"):
             short = _words(path)[1]
-            yield pa.RecordBatch.from_arrays([pa.array([_serialized(x, short) for x in encode_texts(path, texts, end_id)], pa.binary())], ["ids"])
+            yield pa.RecordBatch.from_arrays([pa.array([_serialized(x, short)[:SAMPLE_BYTES] for x in encode_texts(path, texts, end_id)], pa.binary())], ["ids"])
 
     return run
 
 
-def _shards(path: str, end_id: int | None, dictionary, shard_bytes: int, kind: pa.DataType):
+def _shards(path: str, end_id: int | None, dictionary, shard_bytes: int):
     """Documents of a sorted partition -> shards: a payload of frames and, for each document, where its frame lies."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +133,7 @@ def _shards(path: str, end_id: int | None, dictionary, shard_bytes: int, kind: p
         trained = zstandard.ZstdCompressionDict(dictionary.value) if dictionary.value else None
         squeeze = zstandard.ZstdCompressor(level=3, dict_data=trained, write_checksum=True).compress
         digest = hashlib.sha256(dictionary.value).hexdigest()
-        docs, frames, counts = [], [], []
+        docs, frames, counts, kind = [], [], [], None
 
         def shard():
             sizes = np.array([len(f) for f in frames], np.int64)
@@ -142,6 +146,7 @@ def _shards(path: str, end_id: int | None, dictionary, shard_bytes: int, kind: p
 
         held = 0
         for batch, texts in text_chunks(batches, "text"):
+            kind = batch.schema.field("id").type
             for doc, ids in zip(batch.column("id").to_pylist(), encode_texts(path, texts, end_id), strict=True):
                 frame = squeeze(_serialized(ids, short))
                 if frames and held + len(frame) > shard_bytes:
@@ -161,8 +166,8 @@ def _shards(path: str, end_id: int | None, dictionary, shard_bytes: int, kind: p
 def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, id_col: str = "doc_id", text_col: str = "text", end_id: int | None = None, sample_docs: int = SAMPLE_DOCS, shard_bytes: int = SHARD_BYTES) -> None:
     """Encode each whole text (end_id after it) and write the ids under folder, in ascending order of id_col.
 
-    folder/dictionary  one row: the zstandard dictionary and its SHA-256. It is trained on the ids of about sample_docs
-                       documents; with too few to train on it is empty and frames stand alone.
+    folder/dictionary  one row: the zstandard dictionary and its SHA-256. It is trained on the first ids (32 KB) of about
+                       sample_docs documents; with too few to train on it is empty and frames stand alone.
     folder/shards      rows of at most shard_bytes of frames: part and shard (their order), the dictionary's hash, bytes per
                        id, the payload (frames end to end) and, as the offset index, document ids, offsets, lengths and
                        token counts in the order of the payload. A short document is had by one slice and one frame.
@@ -180,12 +185,12 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, id_col:
     except zstandard.ZstdError:  # too little to train on
         dictionary = b""
     spark.createDataFrame([(hashlib.sha256(dictionary).hexdigest(), dictionary)], "hash string, dictionary binary").write.parquet(f"{folder}/dictionary")
-    kind = base.schema["id"].dataType
+    kind = base.schema["id"].dataType.simpleString()
     base = base.withColumn("hash", F.xxhash64("text"))  # ranges are fitted to a sample of ids and hashes, never of texts
     ordered = base.repartitionByRange("id", "hash") if total else base
     shards = ordered.sortWithinPartitions("id", "hash", "text").select("id", "text").mapInArrow(
-        _shards(tokenizer_path, end_id, spark.sparkContext.broadcast(dictionary), shard_bytes, pa.int64() if kind.simpleString() == "bigint" else pa.string() if kind.simpleString() == "string" else pa.int32()),
-        f"part long, shard long, dictionary string, id_bytes int, docs array<{kind.simpleString()}>, offsets array<long>, lengths array<long>, n_tokens array<long>, payload binary",
+        _shards(tokenizer_path, end_id, spark.sparkContext.broadcast(dictionary), shard_bytes),
+        f"part long, shard long, dictionary string, id_bytes int, docs array<{kind}>, offsets array<long>, lengths array<long>, n_tokens array<long>, payload binary",
     )
     shards.write.parquet(f"{folder}/shards")
 

@@ -115,6 +115,33 @@ def test_token_files(spark, documents, tmp_path):
     assert spark.read.parquet(str(tmp_path / "f" / "shards")).count() > 3
 
 
+@pytest.mark.parametrize("kind", ["short", "int", "string"])
+def test_token_files_of_another_tokenizer(spark, tmp_path, kind):
+    """Nothing is split for a tokenizer that keeps white space; ids of any kind."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    texts = ["Hello world  two", " leading", "", None, "tabs\tand\n\nlines  ", "漢字 it's <|endoftext|> x"] * 3
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id int, text string").withColumn("doc_id", F.col("doc_id").cast(kind))
+    token_files.write_token_files(df, P.path("byte_bpe_50k.json"), str(tmp_path / "f"))
+    got = {int(r["doc_id"]): r["ids"] for r in token_files.read_token_files(spark, str(tmp_path / "f")).collect()}
+    assert got == {i: t.encode(x or "", add_special_tokens=False).ids for i, x in enumerate(texts)}
+
+
+def test_bpe_of_long_words_and_hot_words(spark):
+    """Long words go rank by rank; how many words are hot changes nothing; another pattern is split as it says."""
+    import tiktoken
+
+    rng, path = random.Random(2), P.path("byte_bpe_50k.tiktoken")
+    texts = ["".join(rng.choice("abcdeé") for _ in range(n)) for n in (255, 256, 257, 5000)] + ["a" * 3001, "x  \n y \u3000z", " a", "a ", "\n a\n  b"] + ["some words some words, more"] * 40
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for pattern in (P.PATTERN, r"[\s\S]{1,7}"):
+        enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.load_ranks(path), special_tokens={})
+        for hot in (0, 3, 1000):
+            got = dict(bpe.bpe_encode(df, path, pattern=pattern, hot_words=hot).collect())
+            assert got == {i: enc.encode_ordinary(t) for i, t in enumerate(texts)}
+
+
 def test_word_encoder_is_the_tokenizer():
     from tokenizers import Tokenizer
 
