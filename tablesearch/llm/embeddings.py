@@ -25,7 +25,8 @@ def quantise(units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
 
 
 def _tile(a, b, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of a and of b whose cosine is threshold or more; a and b: (vectors, units, int8 values as float32, scale, length, error).
+    """Rows of a and of b whose cosine is threshold or more; a and b: (vectors scaled near one, unit vectors, int8 values as float32, scale,
+    length, error).
 
     With x = s q + e the product of two unit vectors differs from s s' (q q') by at most |e| |s'q'| + |sq| |e'| + |e| |e'|.
     int8 products are whole numbers below 2**24 up to 1040 dimensions, so float32 matrix products have them exactly;
@@ -42,11 +43,12 @@ def _tile(a, b, threshold: float) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _side(vectors: np.ndarray):
-    units = vectors / np.abs(vectors).max(axis=1, keepdims=True)
-    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    # Scaled by a power of two first, so that no component over- or underflows and all digits stay.
+    near_one = np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+    units = near_one / np.linalg.norm(near_one, axis=1, keepdims=True)
     q, scale, length, error = quantise(units)
     kind = np.float32 if vectors.shape[1] <= 1040 else np.float64
-    return vectors, units, q.astype(kind), scale.astype(kind), length.astype(kind), error.astype(kind)
+    return near_one, units, q.astype(kind), scale.astype(kind), length.astype(kind), error.astype(kind)
 
 
 def _cell(threshold: float):
@@ -90,16 +92,18 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     are vectors of another length than those they meet. A null id counts as a row and as a link, but is the smallest only
     where its group has no other. Rows with equal ids each give a row. An empty table gives an empty table.
     """
-    rows = table.select(F.col(id_col).alias("id"), F.transform(F.col(vector_col), lambda x: x.cast("double")).alias("vector"))
+    # Single-precision vectors travel as such and become double in the tasks.
+    kind = "array<float>" if table.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = table.select(F.col(id_col).alias("id"), F.col(vector_col).cast(kind).alias("vector"))
     good = F.size("vector") > 0
     good &= ~F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("vector", lambda x: x != 0)
     # -0.0 and 0.0 are one value; rows of equal vectors share a group key.
-    rows = rows.withColumn("vector", F.when(good, F.transform("vector", lambda x: x + F.lit(0.0))))
+    rows = rows.withColumn("vector", F.when(good, F.transform("vector", lambda x: F.when(x == 0, F.lit(0).cast(kind[6:-1])).otherwise(x))))
+    name = F.struct(F.xxhash64("vector").alias("one"), F.xxhash64(F.lit(1), "vector").alias("two"))  # 128 bits
     valid = rows.filter("vector is not null").groupBy("vector").agg(F.count("*").alias("copies"), F.min("id").alias("low"))
-    nodes = cut(valid.select(F.xxhash64("vector", F.lit(1)).alias("node"), "copies", "low", F.size("vector").alias("dim"), "vector"), "vectors")
+    # Numbers are given as the table is written, so they are unique and stay.
+    nodes = cut(valid.select(F.monotonically_increasing_id().alias("node"), name.alias("name"), "copies", "low", F.size("vector").alias("dim"), "vector"), "vectors")
     total = nodes.count()
-    if total != nodes.select("node").distinct().count():
-        raise ValueError("two different vectors have one hash")
     groups = max(1, math.ceil(total / side))
     mine = F.pmod(F.hash("node"), F.lit(groups))
     cells = F.transform(F.sequence(F.lit(0), F.lit(groups - 1)), lambda j: F.struct(F.least(j, F.col("group")).alias("left"), F.greatest(j, F.col("group")).alias("right"), (j < F.col("group")).cast("int").alias("side")))
@@ -107,9 +111,9 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     found = cut(dealt.groupBy("dim", "left", "right").applyInArrow(_cell(threshold), "node long, links long, other long"), "cells")
     linked = found.groupBy("node").agg(F.sum("links").alias("links"))
     joined = components(found.filter("node <> other"), "node", "other")
-    named = nodes.select("node", "copies", "low").join(linked, "node", "left").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = nodes.select("node", "name", "copies", "low").join(linked, "node", "left").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = named.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = named.join(lowest, "component").select("node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), "component_id")
-    keyed = rows.select("id", F.when(F.col("vector").isNotNull(), F.xxhash64("vector", F.lit(1))).alias("node"))
-    out = keyed.join(named, "node", "left").select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+    named = named.join(lowest, "component").select("name", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), "component_id")
+    keyed = rows.select("id", F.when(F.col("vector").isNotNull(), name).alias("name"))
+    out = keyed.join(named, "name", "left").select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("name").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
     return out.select(F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -73,6 +73,12 @@ def test_embeddings(spark, side):
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embeddings_of_extreme_size(spark):
+    rows = [(1, [1e200, 1e200]), (2, [1e200, 1.01e200]), (3, [1e-170, 1e-170]), (4, [1e-170, -1e-170]), (5, [5e-324, 5e-324]), (6, [1.0, -1.0])]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 5: (3, 1), 4: (1, 4), 6: (1, 4)}
+
+
 def test_quantisation_bound_holds():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(400, 64))
