@@ -38,6 +38,8 @@ CONTEXT = {
 }
 AGAINST = ("version", "order", "invoice", "serial", "isbn", "build")
 WINDOW, RAISE, LOWER, KEEP = 40, 0.3, 0.3, 0.5
+#: What IP matches, each run of digits read once: a match always starts where a run of digits does.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _WORD = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -74,7 +76,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     spans = [(s, e, 0) for s, e in _emails(text)] if "@" in text else []
     if _DIGITS.search(text):
         if "." in text:
-            spans += [(*m.span(), 1) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+            spans += [(*m.span(), 1) for m in _IP.finditer(text) if all(len(n := p.lstrip("0")) <= 3 and int(n or 0) <= 255 for p in m[0].split("."))]
         for m in CARD.finditer(text):
             if 12 <= m.end() - m.start() <= 37 and 12 <= len(digits := "".join(_DIGITS.findall(m[0]))) <= 19 and luhn(digits):
                 spans.append((*m.span(), 2))
@@ -117,30 +119,41 @@ def _joined(spans) -> str:
     return ",".join(f"{k}:{s}:{e}" for s, e, k, *_ in spans)
 
 
-def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, texts in text_chunks(batches, "text"):
-        found = [find_spans(t) for t in texts]
-        spans = pa.array([[{"start": s, "end": e, "kind": k, "score": x} for s, e, k, x in f] for f in found], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("score", pa.float64())])))
-        base = [[x for x in f if x[2] in BASE] for f in found]
-        counts = [pa.array([sum(x[2] == k for x in b) for b in base], pa.int64()) for k in BASE]
-        sha = pa.array([hashlib.sha256(_joined(b).encode()).hexdigest() for b in base])
-        redacted = pa.array([redact(t, f) if f else t for t, f in zip(texts, found, strict=True)])
-        yield pa.RecordBatch.from_arrays([batch.column("id"), *counts, sha, pa.array([_joined(f) for f in found]), spans, redacted], ["id", *(f"n_{k}" for k in BASE), "base_sha256", "spans", "found", "redacted"])
+_FOUND = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("score", pa.float64())]))
 
 
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Personal data in each whole text: id_col, n_email, n_ip, n_card, n_phone, base_sha256, spans (kind:start:end,...),
-    found (array of start, end, kind, score), redacted (the text with spans replaced by [KIND]).
+def _find(details: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in text_chunks(batches, "text"):
+            found = [find_spans(t) for t in texts]
+            base = [[x for x in f if x[2] in BASE] for f in found]
+            out = {"id": batch.column("id")}
+            for k in BASE:
+                out[f"n_{k}"] = pa.array([sum(x[2] == k for x in b) for b in base], pa.int64())
+            out["base_sha256"] = pa.array([hashlib.sha256(_joined(b).encode()).hexdigest() for b in base])
+            out["spans"] = pa.array([_joined(f) for f in found])
+            if details:
+                out["found"] = pa.array([[{"start": s, "end": e, "kind": k, "score": x} for s, e, k, x in f] for f in found], _FOUND)
+                out["redacted"] = pa.array([redact(t, f) if f else t for t, f in zip(texts, found, strict=True)])
+            yield pa.RecordBatch.from_arrays([*out.values()], [*out])
+
+    return run
+
+
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", details: bool = True) -> DataFrame:
+    """Personal data in each whole text: id_col, n_email, n_ip, n_card, n_phone, base_sha256, spans (kind:start:end,...) and, with
+    details, found (array of start, end, kind, score) and redacted (the text with spans replaced by [KIND]).
 
     The four base kinds count as matched and validated (ip parts, Luhn, digit counts), whatever stands around them.
     iban spans need mod 97; local_phone and ssn spans a score of KEEP, so a word nearby. Offsets are code points, the end
     exclusive. A null text counts as empty: no spans, an empty redacted text. Each input row gives one row, whatever its
-    id; other columns are ignored; an empty table gives an empty table.
+    id; other columns are ignored; an empty table gives an empty table. The time grows in proportion to a text's length.
     """
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = base.schema["id"].dataType.simpleString()
     counts = ", ".join(f"n_{k} long" for k in BASE)
-    return base.mapInArrow(_find, f"id {kind}, {counts}, base_sha256 string, spans string, found array<struct<start:long,end:long,kind:string,score:double>>, redacted string").withColumnRenamed("id", id_col)
+    more = ", found array<struct<start:long,end:long,kind:string,score:double>>, redacted string" if details else ""
+    return base.mapInArrow(_find(details), f"id {kind}, {counts}, base_sha256 string, spans string{more}").withColumnRenamed("id", id_col)
 
 
 def _redact_rows(text_col: str):

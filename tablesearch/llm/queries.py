@@ -25,7 +25,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substrings.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept", "spans")
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents"), details=False)
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +49,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_pii(_table(spark, sf_dir, "documents")).drop("found", "redacted")
+    return find_pii(_table(spark, sf_dir, "documents"), details=False)
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

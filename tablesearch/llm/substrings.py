@@ -321,7 +321,7 @@ def _windows(window: int):
     return run
 
 
-def _removed(window: int):
+def _removed(window: int, details: bool):
     """Documents with the starts of the windows to remove -> what is left of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,22 +334,25 @@ def _removed(window: int):
                     np.add.at(marks, np.array(starts), 1)
                     np.add.at(marks, np.array(starts) + window, -1)
                 cover = np.cumsum(marks[:-1]) > 0
-                edges = np.flatnonzero(np.diff(np.concatenate([[False], cover, [False]]).astype(np.int8)))
-                spans.append([{"start": int(s), "end": int(e)} for s, e in zip(edges[::2], edges[1::2], strict=True)])
+                if details:
+                    edges = np.flatnonzero(np.diff(np.concatenate([[False], cover, [False]]).astype(np.int8)))
+                    spans.append([{"start": int(s), "end": int(e)} for s, e in zip(edges[::2], edges[1::2], strict=True)])
                 total.append(len(words))
                 gone.append(int(cover.sum()))
-                kept.append(b" ".join([w for w, c in zip(words, cover.tolist(), strict=True) if not c] if starts else words).decode())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string()), pa.array([hashlib.sha256(k.encode()).hexdigest() for k in kept]), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
-                ["id", "n_words", "n_removed", "kept", "kept_sha256", "spans"],
-            )
+                kept.append(b" ".join([w for w, c in zip(words, cover.tolist(), strict=True) if not c] if starts else words))
+            out = {"id": batch.column("id"), "n_words": pa.array(total, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept])}
+            if details:
+                out["kept"] = pa.array(kept, pa.binary()).cast(pa.string())
+                out["spans"] = pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
+            yield pa.RecordBatch.from_arrays([*out.values()], [*out])
 
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, details: bool = True) -> DataFrame:
     """Each whole text without the words of windows (window words in a row) that a document of a smaller id has too: id_col,
-    n_words, n_removed, kept (the other words, joined by one space), kept_sha256, spans (start, end; of words removed).
+    n_words, n_removed, kept_sha256 (of the other words, joined by one space) and, with details, kept (those words themselves)
+    and spans (start, end; of words removed).
 
     1. The anchors of all windows are counted: those of more than one document are the repeated ones. A filter of their
        hashes, of a bounded size, is broadcast; it may pass others, which costs time only.
@@ -391,10 +394,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     starts = met.select("id", F.explode(F.filter(F.transform("owners", lambda o, i: F.when(o < F.col("id"), F.col("at") + i)), lambda x: x.isNotNull())).alias("at"))
     starts = starts.select("id", F.shiftrightunsigned("at", 32).alias("key"), F.col("at").bitwiseAND(0xFFFFFFFF).alias("at"))
     keyed = keyed.withColumn("key", F.col("key").bitwiseAND(0xFFFFFFFF))
-    return _apply(keyed, starts, window).withColumnRenamed("id", id_col)
+    return _apply(keyed, starts, window, details).withColumnRenamed("id", id_col)
 
 
-def _apply(keyed: DataFrame, starts: DataFrame, window: int) -> DataFrame:
+def _apply(keyed: DataFrame, starts: DataFrame, window: int, details: bool) -> DataFrame:
     lists = starts.groupBy("id", "key").agg(F.collect_set("at").alias("starts"))
     joined = keyed.join(lists, ["id", "key"], "left").select("id", "text", "starts")
-    return joined.mapInArrow(_removed(window), "id long, n_words long, n_removed long, kept string, kept_sha256 string, spans array<struct<start:long,end:long>>")
+    more = ", kept string, spans array<struct<start:long,end:long>>" if details else ""
+    return joined.mapInArrow(_removed(window, details), f"id long, n_words long, n_removed long, kept_sha256 string{more}")
