@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -14,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import text_chunks
+from ._common import cut, text_chunks
 
 #: BM25's usual constants.
 K1, B = 1.2, 0.75
@@ -31,8 +32,9 @@ QUESTION, ANSWER, RUN = 0.5, 0.5, 4
 BLOCK, BLOCKS = 4, 64
 #: Words of a text whose bounds are held at a time.
 SLICE = STRIDE * 4096
-#: Text of test items in one index; a larger benchmark is several indexes, each broadcast and run by itself.
-INDEX_BYTES = 4 << 20
+#: Text of test items in one index, about, and the indexes that are broadcast for one pass over the documents. Both set the
+#: memory and the passes only: weights are those of the whole benchmark.
+INDEX_BYTES, INDEXES = 4 << 20, 8
 _WORDS = re.compile(r"[^\W_]+")
 #: "Answer:" where a word starts; "A:" where a line or a sentence does.
 _ANSWER = re.compile(r"(?is)^(.*?)(?:(?<![^\W_])answer|(?:^|[\n.!?])\s*a)\s*:\s*(.+)$")
@@ -98,16 +100,20 @@ class Index:
                 found[pivot] = score
 
 
-def build(items: list[tuple[int | None, str]], rare: dict[str, float]) -> Index:
-    """items: (id, text). rare: the idf of each term over the whole benchmark, whichever index the item is in."""
+def parts_of(words: list[str]) -> list[list[str]]:
+    """An item's words in parts of at most PASSAGE, of about equal length."""
+    size = -(-len(words) // max(1, -(-len(words) // PASSAGE)))
+    return [words[i : i + size] for i in range(0, len(words), max(1, size))]
+
+
+def build(items: list[tuple[int | None, str]], rare: dict[str, float], mean: float | None = None) -> Index:
+    """items: (id, text). rare: the idf of each term over the whole benchmark, and mean: the words of a part there, whichever
+    index the item is in."""
     parts = []
     for item, text in items:
-        words = words_of(text)
         q, a = question_and_answer(text)
-        n = max(1, -(-len(words) // PASSAGE))
-        size = -(-len(words) // n)
-        parts += [(item, words[i : i + size], (runs(q), runs(a))) for i in range(0, len(words), max(1, size))]
-    mean = sum(len(w) for _, w, _ in parts) / max(1, len(parts))
+        parts += [(item, own, (runs(q), runs(a))) for own in parts_of(words_of(text))]
+    mean = mean or sum(len(w) for _, w, _ in parts) / max(1, len(parts))
     lists: dict[str, list[tuple[int, float]]] = {}
     for n, (_, words, _) in enumerate(parts):
         weight = {t: rare[t] * f * (K1 + 1) / (f + K1 * (1 - B + B * len(words) / mean)) for t, f in Counter(words).items()}
@@ -123,9 +129,8 @@ def build(items: list[tuple[int | None, str]], rare: dict[str, float]) -> Index:
     return Index([i for i, *_ in parts], [r for *_, r in parts], terms, postings, bounds, block)
 
 
-def leaks_in(text: str, index: Index) -> list[tuple[int | None, float, float, float]]:
-    """(item, best score, question overlap, answer overlap) of each item that the text holds."""
-    words = words_of(text)
+def leaks_in(words: list[str], index: Index) -> list[tuple[int | None, float, float, float]]:
+    """(item, best score, question overlap, answer overlap) of each item that a text of these words holds."""
     if not words:
         return []
     terms = np.fromiter(map(index.terms.get, words, repeat(0)), np.int64, len(words))
@@ -157,72 +162,98 @@ def leaks_in(text: str, index: Index) -> list[tuple[int | None, float, float, fl
     return [(item, score, q, a) for (item, q, a), score in out.items()]
 
 
-def _find(shared, kind: pa.DataType):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
-        for batch, texts in text_chunks(batches, "text"):
-            rows = [(n, *hit) for n, t in enumerate(texts) for hit in leaks_in(t, index)]
-            if rows:
-                at, items, scores, q, a = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(at, pa.int64())), pa.array(items, kind), pa.array(scores), pa.array(q), pa.array(a)], ["id", "item", "score", "question_overlap", "answer_overlap"])
+def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Items -> a row for each distinct word with its shard, and one (word null) for the item with its parts and their words."""
+    for batch, texts in text_chunks(batches, "text"):
+        for shard, text in zip(batch.column("shard").to_pylist(), texts, strict=True):
+            words = words_of(text)
+            own = [None, *set(words)]
+            yield pa.RecordBatch.from_arrays([pa.array([shard] * len(own), pa.int64()), pa.array(own, pa.string()), pa.array([len(parts_of(words)), *[0] * (len(own) - 1)], pa.int64()), pa.array([len(words), *[0] * (len(own) - 1)], pa.int64())], ["shard", "word", "parts", "words"])
 
-    return run
 
+def _build(total: int, mean: float):
+    """A shard's items, and its words with the number of the benchmark's items that hold each -> its index."""
 
-def _indexes(benchmark: DataFrame, item_col: str, text_col: str) -> list[Index]:
-    """The benchmark's items in indexes of at most INDEX_BYTES of text; item by item in ascending order of id."""
-    items, size, out = [], 0, []
-    rows = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text")).filter("text is not null").distinct()
-    split = rows.withColumn("word", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1)))))
-    total = rows.count()
-    df = {r["word"]: r["n"] for r in split.groupBy("word").agg(F.count("*").alias("n")).toLocalIterator()}
-    rare = _Idf(df, total)
-    for r in rows.orderBy("item", "text").toLocalIterator():
-        if items and size + len(r["text"]) > INDEX_BYTES:
-            out.append(build(items, rare))
-            items, size = [], 0
-        items.append((r["item"], r["text"]))
-        size += len(r["text"])
-    return [*out, build(items, rare)] if items else out
+    def run(key: tuple[pa.Scalar, ...], items: pa.Table, words: pa.Table) -> pa.Table:
+        if not items.num_rows:
+            return pa.table({"shard": pa.array([], pa.int64()), "index": pa.array([], pa.binary())})
+        rare = _Idf(dict(zip(words.column("word").to_pylist(), words.column("n").to_pylist(), strict=True)), total)
+        index = build(sorted(zip(items.column("number").to_pylist(), items.column("text").to_pylist(), strict=True)), rare, mean)
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "index": pa.array([pickle.dumps(index)], pa.binary())})
+
+    return run
 
 
 class _Idf(dict):
     def __init__(self, df: dict[str, int], total: int):
         super().__init__({t: math.log(1 + (total - n + 0.5) / (n + 0.5)) for t, n in df.items()})
-        self.once = math.log(1 + (total - 0.5) / 1.5)
 
-    def __missing__(self, term: str) -> float:
-        return self.once  # a word that two engines split otherwise
+
+def _indexes(benchmark: DataFrame, item_col: str, text_col: str) -> tuple[DataFrame, list[tuple]]:
+    """The distinct items with a number each, and broadcasts of at most INDEXES of their indexes each.
+
+    Items are dealt to shards by a hash of their number; words are counted over all of them by Spark; each shard's index is
+    built in a task and written. The driver holds the indexes of one broadcast at a time."""
+    spark = benchmark.sparkSession
+    rows = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text")).filter("text is not null").distinct()
+    items = cut(rows.select(F.monotonically_increasing_id().alias("number"), "item", "text"), "items")
+    size = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    shards = -(-size // INDEX_BYTES)
+    if not shards:
+        return items, []
+    dealt = items.select(F.pmod(F.xxhash64("number"), F.lit(shards)).alias("shard"), "number", "text")
+    words = cut(dealt.select("shard", "text").mapInArrow(_item_words, "shard long, word string, parts long, words long"), "words")
+    stats = words.filter("word is null").agg(F.count("*").alias("items"), F.sum("parts").alias("parts"), F.sum("words").alias("words")).first()
+    if not stats["parts"]:
+        return items, []
+    counts = words.filter("word is not null").groupBy("word").agg(F.count("*").alias("n"))
+    known = words.select("shard", "word").distinct().join(counts, "word").select("shard", "word", "n")
+    build_ = _build(stats["items"], stats["words"] / stats["parts"])
+    built = cut(dealt.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(build_, "shard long, index binary"), "indexes")
+    numbers = sorted(r["shard"] for r in built.select("shard").collect())
+    groups = [numbers[i : i + INDEXES] for i in range(0, len(numbers), INDEXES)]
+    return items, [spark.sparkContext.broadcast([pickle.loads(r["index"]) for r in built.filter(F.col("shard").isin(g)).collect()]) for g in groups]
+
+
+def _find(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        indexes = shared.value
+        for batch, texts in text_chunks(batches, "text"):
+            rows = [(n, *hit) for n, words in enumerate(map(words_of, texts)) for index in indexes for hit in leaks_in(words, index)]
+            if rows:
+                at, items, scores, q, a = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(at, pa.int64())), pa.array(items, pa.int64()), pa.array(scores), pa.array(q), pa.array(a)], ["id", "number", "score", "question_overlap", "answer_overlap"])
+
+    return run
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Test items that documents hold: id_col, item_col, score, question_overlap, answer_overlap; a row for each pair.
 
-    Every passage of every whole text is searched; an item's score is BM25 as a share of the item's score against itself.
-    The benchmark, not the corpus, goes through the driver, one index of at most INDEX_BYTES of text at a time; each index
-    is broadcast and the documents are read once for it. There is no shuffle.
+    Every passage of every whole text is searched; an item's score is BM25 as a share of the item's score against itself,
+    with the frequencies and the mean length of the whole benchmark. The indexes of the benchmark's shards are built in tasks
+    and broadcast, INDEXES at a time; the documents are read once for each such group. Texts are not shuffled.
 
     Null texts and texts without words hold nothing and are held by nothing. A pair is listed for each row of a document
-    and each distinct row of an item. Empty tables give no pairs. Other columns are ignored.
+    and each distinct row of an item. Ids of both may be of any type. Empty tables give no pairs. Other columns are ignored.
     """
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = benchmark.schema[item_col].dataType.simpleString()
-    schema = f"id {base.schema['id'].dataType.simpleString()}, item {kind}, score double, question_overlap double, answer_overlap double"
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-    out = None
-    for index in _indexes(benchmark, item_col, item_text_col):
-        found = base.mapInArrow(_find(spark.sparkContext.broadcast(index), arrow), schema)
-        out = found if out is None else out.union(found)
-    out = spark.createDataFrame([], schema) if out is None else out
+    schema = f"id {base.schema['id'].dataType.simpleString()}, number long, score double, question_overlap double, answer_overlap double"
+    items, groups = _indexes(benchmark, item_col, item_text_col)
+    out = spark.createDataFrame([], schema)
+    for n, shared in enumerate(groups):
+        found = base.mapInArrow(_find(shared), schema)
+        out = out.union(found) if n else found
+    out = out.join(items.select("number", "item"), "number").select("id", "item", "score", "question_overlap", "answer_overlap")
     return out.withColumnsRenamed({"id": id_col, "item": item_col})
 
 
 def _clean(shared, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
+        indexes = shared.value
         for batch, texts in text_chunks(batches, text_col):
-            yield batch.filter(pa.array([not leaks_in(t, index) for t in texts]))
+            yield batch.filter(pa.array([not any(leaks_in(words, index) for index in indexes) for words in map(words_of, texts)]))
 
     return run
 
@@ -230,6 +261,6 @@ def _clean(shared, text_col: str):
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows of docs that hold no test item, with all their columns; rows as find_leaks judges them."""
     out = docs
-    for index in _indexes(benchmark, item_col, item_text_col):
-        out = out.mapInArrow(_clean(docs.sparkSession.sparkContext.broadcast(index), text_col), docs.schema)
+    for shared in _indexes(benchmark, item_col, item_text_col)[1]:
+        out = out.mapInArrow(_clean(shared, text_col), docs.schema)
     return out

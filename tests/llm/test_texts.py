@@ -1,6 +1,7 @@
 """Language ID, toxicity, decontamination and personal data: plain versions, held-out accuracy and planted cases."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -211,6 +212,61 @@ def test_leaks_of_a_benchmark_in_many_indexes(spark, monkeypatch):
     assert sorted((r["doc_id"], r["item_id"]) for r in got.collect()) == [(i, i) for i in range(9)]
 
 
+def plain_leaks(docs, items):
+    """Every passage against every part of every item by plain BM25, then the overlap of the runs."""
+    parts = [(i, p) for i, t in items for p in decontaminate.parts_of(decontaminate.words_of(t))]
+    mean = sum(len(p) for _, p in parts) / len(parts)
+    holds = [set(decontaminate.words_of(t)) for _, t in items]
+    idf = lambda w: math.log(1 + (len(items) - sum(w in h for h in holds) + 0.5) / (sum(w in h for h in holds) + 0.5))
+    rare = {w: idf(w) for h in holds for w in h}
+    weighed = []
+    for i, p in parts:
+        w = {t: rare[t] * p.count(t) * 2.2 / (p.count(t) + 1.2 * (0.25 + 0.75 * len(p) / mean)) for t in set(p)}
+        weighed.append((i, {t: x / sum(w.values()) for t, x in w.items()}))
+    texts = dict(items)
+    out = set()
+    for d, text in docs:
+        words = decontaminate.words_of(text)
+        for at in range(0, max(1, -(-len(words) // 24) - 1) * 24, 24):
+            passage = set(words[at : at + 48])
+            for i, w in weighed:
+                if (d, i) not in out and sum(w[t] for t in passage & set(w)) >= decontaminate.RETRIEVE:
+                    q, a = map(decontaminate.runs, decontaminate.question_and_answer(texts[i]))
+                    held = {tuple(words[k : k + n]) for n in {len(r) for r in q | a} for k in range(len(words) - n + 1)}
+                    if len(q & held) >= len(q) / 2 and len(a & held) >= len(a) / 2:
+                        out.add((d, i))
+    return out
+
+
+@pytest.mark.parametrize("index_bytes", [1 << 20, 2000])
+def test_leaks_are_brute_force(spark, sf, monkeypatch, index_bytes):
+    """Whole and altered items in other text, end to end; the split into indexes changes nothing."""
+    monkeypatch.setattr(decontaminate, "INDEX_BYTES", index_bytes)
+    monkeypatch.setattr(decontaminate, "INDEXES", 3)
+    rng = random.Random(8)
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    items += [(5000 + i, " ".join(f"q{rng.randrange(60)}" for _ in range(rng.randint(3, 120))) + f"? Answer: the a{i} b{i % 3} c") for i in range(20)]
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").limit(40).collect()]
+    for n in range(120):
+        words = rng.choice(items)[1].split()
+        for _ in range(rng.choice([0, 1, 3, 10, 30])):
+            words[rng.randrange(len(words))] = f"other{rng.randrange(50)}"
+        begin = rng.choice([0, 0, len(words) // 3])
+        docs.append((10_000 + n, " ".join([*rng.choice(docs)[1].split()[: rng.randrange(80)], *words[begin : begin + rng.randint(5, 130)], *rng.choice(docs)[1].split()[:30]])))
+    got = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    want = plain_leaks(docs, items)
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == want and len(want) > 40
+
+
+@pytest.mark.parametrize("kind", ["short", "double", "string"])
+def test_leaks_of_items_with_ids_of_any_type(spark, kind):
+    bench = spark.createDataFrame([(7, "quite another item about winter wheat and barley")], "item_id int, text string").withColumn("item_id", F.col("item_id").cast(kind))
+    docs = spark.createDataFrame([(3, "here is quite another item about winter wheat and barley")], "doc_id int, text string").withColumn("doc_id", F.col("doc_id").cast(kind))
+    got = decontaminate.find_leaks(docs, bench)
+    assert [(float(r["doc_id"]), float(r["item_id"])) for r in got.collect()] == [(3.0, 7.0)] and got.schema["item_id"].dataType == bench.schema["item_id"].dataType
+    assert decontaminate.drop_leaks(docs, bench).count() == 0
+
+
 TEXTS = [
     "mail a.b+c@x-y.co.uk, or a@b@c.de; bad@nodot; x@y..z; @start.de; _%+-@q.r.s",
     "ips 1.2.3.4 256.1.1.1 1.2.3.4.5 001.002.003.004 1.2.3 999.1.2.3.4",
