@@ -25,6 +25,33 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[child], nodes[root[child]]
 
 
+def spanning(a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Which of the links (a, b) make a spanning forest of least weight; ties go to the earlier link."""
+    at = np.unique(np.concatenate([a, b]), return_inverse=True)[1]
+    left, right = at[: len(a)], at[len(a) :]
+    rank = np.empty(len(a), np.int64)
+    rank[np.argsort(weight, kind="stable")] = np.arange(len(a))
+    root, links, taken = np.arange(len(at)), np.arange(len(a)), np.zeros(len(a), bool)
+    while True:
+        links = links[root[left[links]] != root[right[links]]]
+        if not len(links):
+            return np.flatnonzero(taken)
+        u, v, r = root[left[links]], root[right[links]], rank[links]
+        best = np.full(len(root), len(a))
+        np.minimum.at(best, u, r)
+        np.minimum.at(best, v, r)
+        first, second = best[u] == r, best[v] == r  # the lightest link of either end
+        taken[links[first | second]] = True
+        to = np.arange(len(root))
+        to[u[first]] = v[first]
+        to[v[second]] = u[second]
+        low = (to[to] == np.arange(len(root))) & (np.arange(len(root)) < to)  # of two that point at each other one is the root
+        to[low] = np.flatnonzero(low)
+        while (to[to] != to).any():
+            to = to[to]
+        root = to[root]
+
+
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))

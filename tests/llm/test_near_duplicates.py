@@ -141,8 +141,46 @@ def test_simhash(spark, near_texts, block, monkeypatch):
     got = simhash.near_duplicates(df)
     assert sorted((tuple(r[c] for c in ("doc_id", "fingerprint", "component_id")) for r in got.collect()), key=str) == want
     assert len({w[1] for w in want}) > len({w[2] for w in want})  # different fingerprints do link
-    kept = simhash.keep_one_each(df)
-    assert kept.columns == df.columns and kept.count() == len(set(root.values()))
+
+
+def shingles(text, size=5):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
+
+
+def similar_groups(texts):
+    """Groups of places by a Jaccard similarity of 0.8 of five-word shingles, every pair compared."""
+    sets = [shingles(t) for t in texts]
+    return reach(range(len(texts)), [(a, b) for a, b in itertools.combinations(range(len(texts)), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9])
+
+
+@pytest.mark.parametrize("block", [2048, 3])
+def test_one_of_each_similar_group(spark, sf, block, monkeypatch):
+    """The least row of each group stays; at least nine tenths of the others go; columns of any name and type are kept."""
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rng, rows = random.Random(6), [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    for g in range(40):
+        base = [f"{rng.choice('abcdefgh')}{rng.randrange(400)}" for _ in range(rng.choice([30, 200, 400]))]
+        for _ in range(4):
+            copy = list(base)
+            for _ in range(rng.randrange(max(2, len(base) // 40))):
+                copy[rng.randrange(len(copy))] = f"new{rng.randrange(1000)}"
+            rows.append((1000 + len(rows), " ".join(copy)))
+    rows += [(9000, None), (9001, ""), (9002, " \n"), (9003, "one two"), (9004, "ONE two"), (9005, "one three"), (9006, "word " * 30000), (3, rows[3][1]), (3, "another text of the same id"), (None, rows[4][1]), (None, "alone without an id")]
+    df = spark.createDataFrame([(i, t, "mine", 7, {"k": k}, 1) for k, (i, t) in enumerate(rows)], "doc_id long, text string, _key string, _n int, row map<string,int>, id int").repartition(4)
+    got = simhash.keep_one_each(df)
+    assert got.columns == df.columns
+    kept = got.collect()
+    assert all(r["_key"] == "mine" and r["_n"] == 7 and rows[r["row"]["k"]] == (r["doc_id"], r["text"]) for r in kept)
+    groups = {}
+    for k, root in similar_groups([t for _, t in rows]).items():
+        groups.setdefault(root, []).append(k)
+    left = {r["row"]["k"] for r in kept}
+    order = lambda k: (rows[k][0] is None, rows[k][0] or 0)
+    for g in groups.values():
+        assert any(order(k) == min(map(order, g)) for k in left & set(g))
+    assert len(left) - len(groups) <= 0.1 * (len(rows) - len(groups))
+    assert simhash.keep_one_each(df.limit(0)).count() == 0
 
 
 def test_many_fingerprints_of_one_key(spark):
