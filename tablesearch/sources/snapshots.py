@@ -1,8 +1,10 @@
 """A table with versions: Parquet files that are never changed, and for each version a list of the files it has.
 
-A version is one small JSON file, created exclusively, so of two writers of the same version one fails. Changes rewrite the
-files that hold affected rows and no others. All data goes through Spark readers and writers, so any file system that Spark
-reaches will do; only file names, counts and settings are on the driver.
+A version is one small JSON file. It is written beside its place and renamed there, never over another, so a crash leaves no
+half-written version and of two writers of the same version one fails. Both need a file system that renames at once and
+refuses to rename over a file (HDFS does; on object stores without that, one writer at a time is safe). Changes rewrite the
+files that hold affected rows and no others. All data goes through Spark readers and writers; only file names, counts and
+settings are on the driver.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import types as T
 from ..operators import dml
 
 ROW_ID = "_rowid"
-CLEANUP_EVERY, CLEANUP_RETAIN = "cleanup.interval", "cleanup.retain_versions"
+CLEANUP_EVERY, CLEANUP_RETAIN, CLEANUP_OLDER = "cleanup.interval", "cleanup.retain_versions", "cleanup.older_than"
 
 
 class Conflict(RuntimeError):
@@ -56,16 +58,24 @@ class Snapshots:
 
     def _commit(self, manifest: dict[str, Any], version: int) -> int:
         manifest = manifest | {"version": version, "timestamp": time.time()}
-        fs, where = self._fs(f"{self.path}/versions/{version:020d}.json")
-        try:
-            out = fs.create(where, False)
-        except Exception as e:
-            raise Conflict(f"version {version} of {self.path} exists already") from e
+        sc = self.spark.sparkContext
+        fs, beside = self._fs(f"{self.path}/versions/.{uuid.uuid4().hex}.tmp")
+        where = sc._jvm.org.apache.hadoop.fs.Path(f"{self.path}/versions/{version:020d}.json")
+        out = fs.create(beside, False)
         out.write(json.dumps(manifest).encode())
         out.close()
-        every = int(manifest.get("properties", {}).get(CLEANUP_EVERY, 0))
+        no_options = sc._gateway.new_array(sc._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        try:
+            sc._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), sc._jsc.hadoopConfiguration()).rename(fs.makeQualified(beside), fs.makeQualified(where), no_options)
+        except Exception as e:
+            fs.delete(beside, False)
+            if fs.exists(where):
+                raise Conflict(f"version {version} of {self.path} exists already") from e
+            raise
+        settings = manifest.get("properties", {})
+        every = int(settings.get(CLEANUP_EVERY, 0))
         if every and version % every == 0:
-            self.vacuum(int(manifest["properties"][CLEANUP_RETAIN]))
+            self.vacuum(int(settings[CLEANUP_RETAIN]), float(settings.get(CLEANUP_OLDER, 0)))
         return version
 
     def transaction(self) -> Transaction:
@@ -131,8 +141,9 @@ class Snapshots:
         counts = {r["n"]: r["c"] for r in self.spark.read.parquet(where).groupBy(F.col("_metadata.file_name").alias("n")).agg(F.count("*").alias("c")).collect()}
         return [{"id": next_id + i, "name": f"{folder}/{n}", "rows": counts[n]} for i, n in enumerate(x for x in names if counts.get(x))]
 
-    def write(self, rows: DataFrame, mode: str = "create", max_rows_per_file: int = 1 << 20, if_not_exists: bool = False) -> int:
-        """mode: create (an error if the table exists, or nothing with if_not_exists), append or overwrite."""
+    def write(self, rows: DataFrame, mode: str = "create", max_rows_per_file: int = 1 << 20, if_not_exists: bool = False, properties: dict[str, str] | None = None) -> int:
+        """mode: create (an error if the table exists, or nothing with if_not_exists), append or overwrite. properties are set in
+        the same version."""
         if max_rows_per_file <= 0:
             raise ValueError("max_rows_per_file must be positive")
         known = self.versions()
@@ -149,7 +160,7 @@ class Snapshots:
         self._check_vectors(rows)
         new = self._write(rows, old["next_id"], schema, max_rows_per_file)
         files = (old["files"] if mode == "append" else []) + new
-        return self._commit(old | {"schema": json.loads(schema.json()), "files": files, "next_id": old["next_id"] + len(new)}, (known[-1] if known else 0) + 1)
+        return self._commit(old | {"schema": json.loads(schema.json()), "files": files, "next_id": old["next_id"] + len(new), "properties": old["properties"] | (properties or {})}, (known[-1] if known else 0) + 1)
 
     def _check_vectors(self, rows: DataFrame) -> None:
         """Lists of floats are vectors: all of a column have one length, which is not zero."""
@@ -198,12 +209,26 @@ class Snapshots:
 
     def merge(self, source: DataFrame, on: str, clauses: list[dml.When], source_order: list[str]) -> int:
         """on and the clauses read t.<column> and s.<column>. Files with no changed row stay as they are."""
+        return self._merge(source, on, clauses, source_order)[0]
+
+    def merge_returning(self, source: DataFrame, on: str, clauses: list[dml.When], source_order: list[str]) -> tuple[int, DataFrame, dict[str, int]]:
+        """merge, with the rows that it updated, inserted or deleted (deleted ones as they were) with merge_action, and their
+        number by action. The rows are read from the version before and stay readable until that is cleaned up."""
+        version, rows = self._merge(source, on, clauses, source_order)
+        changed = rows.filter("merge_action in ('UPDATE', 'INSERT', 'DELETE')").drop(ROW_ID)
+        return version, changed, {r["merge_action"]: r["n"] for r in changed.groupBy("merge_action").agg(F.count("*").alias("n")).collect()}
+
+    def _merge(self, source: DataFrame, on: str, clauses: list[dml.When], source_order: list[str]) -> tuple[int, DataFrame]:
         manifest = self.manifest()
-        rows = dml.merge_rows(self._rows(manifest, None, True), source, on, clauses, ROW_ID, source_order)
+        files = manifest["files"]
+        if all(c.kind != dml.NOT_MATCHED_BY_SOURCE for c in clauses):  # files without a match cannot change
+            met = self._rows(manifest, None, True).alias("t").join(source.alias("s"), F.expr(on), "left_semi").select(F.shiftright(ROW_ID, 32).alias("f")).distinct()
+            hit = {r["f"] for r in met.collect()}
+            files = [f for f in files if f["id"] in hit]
+        rows = dml.merge_rows(self._rows(manifest, files, True), source, on, clauses, ROW_ID, source_order)
         touched = {r["f"] for r in rows.filter(f"merge_action in ('UPDATE', 'DELETE') and {ROW_ID} is not null").select(F.shiftright(ROW_ID, 32).alias("f")).distinct().collect()}
-        files = [f for f in manifest["files"] if f["id"] in touched]
         kept = rows.filter("merge_action is null or merge_action <> 'DELETE'").filter(F.col(ROW_ID).isNull() | F.shiftright(ROW_ID, 32).isin(sorted(touched)))
-        return self._replace(manifest, files, kept.drop(ROW_ID, "merge_action"))
+        return self._replace(manifest, [f for f in files if f["id"] in touched], kept.drop(ROW_ID, "merge_action")), rows
 
     # upkeep
 
@@ -216,15 +241,18 @@ class Snapshots:
         total = sum(f["rows"] for f in small)
         return self._replace(manifest, small, self._rows(manifest, small).repartition(max(1, -(-total // target_rows))))
 
-    def vacuum(self, retain_versions: int = 1) -> int:
-        """Delete versions before the newest retain_versions, and the files that only they have; how many files went."""
-        if retain_versions <= 0:
-            raise ValueError("retain_versions must be positive")
-        known = self.versions()
-        keep = {f["name"] for v in known[-retain_versions:] for f in self.manifest(v)["files"]}
+    def vacuum(self, retain_versions: int = 1, older_than: float = 0) -> int:
+        """Delete versions before the newest retain_versions that are older than older_than seconds, and the files that only they
+        have; how many files went."""
+        if retain_versions <= 0 or older_than < 0:
+            raise ValueError("retain_versions must be positive, older_than not negative")
+        known, last = self.versions(), time.time() - older_than
+        manifests = {v: self.manifest(v) for v in known}
+        old = [v for v in known[:-retain_versions] if manifests[v]["timestamp"] <= last]
+        keep = {f["name"] for v in known if v not in old for f in manifests[v]["files"]}
         gone = 0
-        for v in known[:-retain_versions]:
-            for f in self.manifest(v)["files"]:
+        for v in old:
+            for f in manifests[v]["files"]:
                 if f["name"] not in keep:
                     fs, where = self._fs(f"{self.path}/data/{f['name']}")
                     gone += bool(fs.delete(where, False))
@@ -232,17 +260,19 @@ class Snapshots:
             fs.delete(where, False)
         return gone
 
-    def set_auto_cleanup(self, interval: int | None, retain_versions: int = 1) -> int:
+    def set_auto_cleanup(self, interval: int | None, retain_versions: int = 1, older_than: float = 0) -> int:
         """Vacuum at every interval-th version; None turns it off."""
-        if interval is not None and (interval <= 0 or retain_versions <= 0):
-            raise ValueError("interval and retain_versions must be positive")
-        self.set_property(CLEANUP_RETAIN, None if interval is None else str(retain_versions))
-        return self.set_property(CLEANUP_EVERY, None if interval is None else str(interval))
+        if interval is not None and (interval <= 0 or retain_versions <= 0 or older_than < 0):
+            raise ValueError("interval and retain_versions must be positive, older_than not negative")
+        on = interval is not None
+        self.set_properties({CLEANUP_RETAIN: str(retain_versions) if on else None, CLEANUP_OLDER: str(older_than) if on and older_than else None})
+        return self.set_property(CLEANUP_EVERY, str(interval) if on else None)
 
     def maintenance(self) -> DataFrame:
         """Settings of upkeep as rows of key and value."""
         p = self.manifest()["properties"]
         rows = [("enabled", str(CLEANUP_EVERY in p).lower()), ("interval", p.get(CLEANUP_EVERY)), ("retain_versions", p.get(CLEANUP_RETAIN))]
+        rows += [("older_than", p[CLEANUP_OLDER])] if CLEANUP_OLDER in p else []
         return self.spark.createDataFrame(rows, "key string, value string")
 
     # schema
@@ -303,8 +333,12 @@ class Snapshots:
         return self._evolve([T.StructField(f.name, f.dataType, f.nullable, {k: v for k, v in (f.metadata | {"comment": text}).items() if v is not None}) if f.name == column else f for f in fields])
 
     def set_property(self, key: str, value: str | None) -> int:
+        return self.set_properties({key: value})
+
+    def set_properties(self, values: dict[str, str | None]) -> int:
+        """Set what has a value and remove what has None, in one version."""
         manifest = self.manifest()
-        properties = {k: v for k, v in (manifest["properties"] | {key: value}).items() if v is not None}
+        properties = {k: v for k, v in (manifest["properties"] | values).items() if v is not None}
         return self._evolve(self._fields(manifest), properties=properties)
 
 

@@ -22,8 +22,7 @@ def append_stream(stream: DataFrame, table: Snapshots, checkpoint: str, name: st
             new = table._write(batch, manifest["next_id"], table.schema(manifest))
             table._commit(manifest | {"files": manifest["files"] + new, "next_id": manifest["next_id"] + len(new), "properties": manifest["properties"] | {key: str(number)}}, manifest["version"] + 1)
         else:
-            table.write(batch)
-            table.set_property(key, str(number))
+            table.write(batch, properties={key: str(number)})
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
