@@ -44,21 +44,22 @@ def merge_rows(target: DataFrame, source: DataFrame, on: str, clauses: list[When
     with their old values.
 
     Clauses are tried in order; the first that fits a row's kind and condition has it. A target row that several source rows
-    match takes the first of the changes by source_order. row_id: a column of target that names its rows.
+    match takes the first of the changes by source_order. row_id: a column of target that names its rows. Columns of either side
+    may have any other names than merge_action and those that begin with "_merge ".
     """
-    t = target.withColumn("_in_target", F.lit(1)).alias("t")
-    s = source.withColumn("_in_source", F.lit(1)).alias("s")
+    t = target.withColumn("_merge target", F.lit(1)).alias("t")
+    s = source.withColumn("_merge source", F.lit(1)).alias("s")
     joined = t.join(s, F.expr(on), "full_outer")
-    in_t, in_s = F.col("_in_target").isNotNull(), F.col("_in_source").isNotNull()
+    in_t, in_s = F.col("_merge target").isNotNull(), F.col("_merge source").isNotNull()
     kinds = {MATCHED: in_t & in_s, NOT_MATCHED_BY_TARGET: ~in_t & in_s, NOT_MATCHED_BY_SOURCE: in_t & ~in_s}
     chosen = F.lit(-1)
     for i, c in reversed(list(enumerate(clauses))):
         fits = kinds[c.kind] & F.coalesce(_condition(c.condition), F.lit(False))
         number = F.lit(i) if c.action != "error" else F.raise_error(F.lit(f"merge error condition when {c.kind}: {c.message}")).cast("int")
         chosen = F.when(fits, number).otherwise(chosen)
-    joined = joined.withColumn("_clause", chosen)
+    joined = joined.withColumn("_merge clause", chosen)
     acts = {i: c.action for i, c in enumerate(clauses)}
-    action = F.create_map(*[x for i, a in acts.items() for x in (F.lit(i), F.lit(a.upper() if a in ("update", "insert", "delete") else None))])[F.col("_clause")]
+    action = F.create_map(*[x for i, a in acts.items() for x in (F.lit(i), F.lit(a.upper() if a in ("update", "insert", "delete") else None))])[F.col("_merge clause")]
     joined = joined.withColumn("merge_action", action)
 
     def column(name: str) -> Column:
@@ -67,13 +68,13 @@ def merge_rows(target: DataFrame, source: DataFrame, on: str, clauses: list[When
             if c.action == "update" and name in c.assignments or c.action == "insert":
                 new = c.assignments.get(name)
                 new = F.lit(None) if new is None else F.expr(new) if isinstance(new, str) else new
-                value = F.when(F.col("_clause") == i, new).otherwise(value)
+                value = F.when(F.col("_merge clause") == i, new).otherwise(value)
         return value.cast(target.schema[name].dataType).alias(name)
 
     out = [*[column(c) for c in target.columns], "merge_action"]
     inserted = joined.filter(~in_t & (F.col("merge_action") == "INSERT")).select(*out)
     first = Window.partitionBy(f"t.{row_id}").orderBy(F.col("merge_action").isNull(), *[F.col(f"s.{c}") for c in source_order])
-    kept = joined.filter(in_t).withColumn("_n", F.row_number().over(first)).filter("_n = 1").select(*out)
+    kept = joined.filter(in_t).withColumn("_merge place", F.row_number().over(first)).filter(F.col("_merge place") == 1).select(*out)
     return kept.unionByName(inserted)
 
 

@@ -1,8 +1,10 @@
 """Secondary indexes: side tables that lead from a value to the rows that hold it. Files written after an index was built are
-searched without it, so an index never hides rows."""
+searched without it, so an index never hides rows. Named indexes are listed in the table's properties."""
 
 from __future__ import annotations
 
+import json
+import uuid
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -13,22 +15,38 @@ from ..sources.snapshots import ROW_ID, Snapshots
 
 
 class _Index:
-    """entries: key, _rowid, in order of key. files: the numbers of the files it covers."""
+    """entries: key, _rowid, in order of key. files: the numbers of the files it covers. column: as the files name it, so that
+    an index outlives a renamed column."""
+
+    options: dict[str, str] = {}
 
     def __init__(self, table: Snapshots, column: str, path: str, files: set[int]):
-        self.table, self.column, self.path, self.files = table, column, path, files
+        self.table, self.stored, self.path, self.files = table, _stored(table, column), path, files
+
+    @property
+    def column(self) -> str:
+        return next(f.name for f in self.table.schema(self.table.manifest()) if f.metadata.get("stored", f.name) == self.stored)
 
     @staticmethod
     def keys(rows: DataFrame, column: str) -> DataFrame:
-        raise NotImplementedError
+        """key and _rowid of the rows."""
 
     @classmethod
     def build(cls, table: Snapshots, column: str):
-        manifest = table.manifest()
-        path = f"{table.path}/indexes/{cls.__name__}-{column}-{manifest['version']}"
-        entries = cls.keys(table.read(manifest["version"], row_ids=True), column)
-        (entries.repartitionByRange("key", ROW_ID) if manifest["files"] else entries).sortWithinPartitions("key", ROW_ID).write.mode("overwrite").parquet(path)
-        return cls(table, column, path, {f["id"] for f in manifest["files"]})
+        path = f"{table.path}/indexes/{cls.__name__}-{uuid.uuid4().hex}"
+        index = cls(table, column, path, set())
+        index.extend()
+        return index
+
+    def extend(self) -> int:
+        """Index the files that are not covered yet; how many those were."""
+        manifest = self.table.manifest()
+        new = [f for f in manifest["files"] if f["id"] not in self.files]
+        if new or not self.files:
+            entries = self.keys(self.table._rows(manifest, new, True), self.column)
+            (entries.repartitionByRange("key", ROW_ID) if new else entries).sortWithinPartitions("key", ROW_ID).write.options(**self.options).mode("append").parquet(self.path)
+        self.files |= {f["id"] for f in new}
+        return len(new)
 
     def entries(self) -> DataFrame:
         return self.table.spark.read.parquet(self.path)
@@ -57,6 +75,12 @@ class ValueIndex(_Index):
         return self._fetch(self.entries().filter(F.col("key").between(low, high)), F.col(self.column).between(low, high))
 
 
+class BloomIndex(ValueIndex):
+    """ValueIndex with a Parquet Bloom filter of the values, for equality on values in no order."""
+
+    options = {"parquet.bloom.filter.enabled#key": "true"}
+
+
 class TokenIndex(_Index):
     """Words of a text column."""
 
@@ -102,6 +126,78 @@ class LabelIndex(_Index):
         return self._fetch(self.entries().filter(F.col("key").isin(labels)), F.arrays_overlap(F.col(self.column), F.array(*[F.lit(x) for x in labels])))
 
 
+KINDS = {"btree": ValueIndex, "bloomfilter": BloomIndex, "inverted": TokenIndex, "ngram": NgramIndex, "label_list": LabelIndex}
+_NAMED = "index."
+
+
+def _stored(table: Snapshots, column: str) -> str:
+    found = [f.metadata.get("stored", f.name) for f in table.schema(table.manifest()) if f.name == column]
+    if not found:
+        raise ValueError(f"no such column: {column}")
+    return found[0]
+
+
+def _entry(table: Snapshots, name: str) -> dict[str, Any]:
+    text = table.manifest()["properties"].get(_NAMED + name)
+    if text is None:
+        raise ValueError(f"no index {name}")
+    return json.loads(text)
+
+
+def _keep(name: str, kind: str, index: _Index) -> None:
+    index.table.set_property(_NAMED + name, json.dumps({"kind": kind, "stored": index.stored, "path": index.path, "files": sorted(index.files)}))
+
+
+def create_index(table: Snapshots, name: str, column: str, kind: str = "btree", replace: bool = False) -> _Index:
+    """Build an index and list it under its name, which must be new unless replace is true."""
+    if kind not in KINDS:
+        raise ValueError(f"kind must be one of {', '.join(KINDS)}")
+    if _NAMED + name in table.manifest()["properties"] and not replace:
+        raise ValueError(f"an index {name} exists")
+    index = KINDS[kind].build(table, column)
+    _keep(name, kind, index)
+    return index
+
+
+def open_index(table: Snapshots, name: str) -> _Index:
+    entry = _entry(table, name)
+    names = {f.metadata.get("stored", f.name): f.name for f in table.schema(table.manifest())}
+    if entry["stored"] not in names:
+        raise ValueError(f"the column of index {name} is dropped")
+    return KINDS[entry["kind"]](table, names[entry["stored"]], entry["path"], set(entry["files"]))
+
+
+def show_indexes(table: Snapshots) -> DataFrame:
+    """name, kind, column (null if it is dropped), indexed_rows, unindexed_rows of each named index, by name."""
+    manifest, rows = table.manifest(), []
+    names = {f.metadata.get("stored", f.name): f.name for f in table.schema(manifest)}
+    for key, text in sorted(manifest["properties"].items()):
+        if key.startswith(_NAMED):
+            entry = json.loads(text)
+            covered = sum(f["rows"] for f in manifest["files"] if f["id"] in entry["files"])
+            rows.append((key[len(_NAMED) :], entry["kind"], names.get(entry["stored"]), covered, sum(f["rows"] for f in manifest["files"]) - covered))
+    return table.spark.createDataFrame(rows, "name string, kind string, column string, indexed_rows long, unindexed_rows long")
+
+
+def drop_index(table: Snapshots, name: str) -> int:
+    """Take an index off the list; its files stay for readers of older versions."""
+    _entry(table, name)
+    return table.set_property(_NAMED + name, None)
+
+
+def optimize_index(table: Snapshots, name: str, rebuild: bool = False) -> int:
+    """Index the files written since, beside what is there, or everything anew; how many files were indexed."""
+    entry, index = _entry(table, name), open_index(table, name)
+    if rebuild:
+        index = KINDS[entry["kind"]].build(table, index.column)
+        done = len(index.files)
+    else:
+        done = index.extend()
+    if done:
+        _keep(name, entry["kind"], index)
+    return done
+
+
 def zone_map(table: Snapshots, column: str) -> DataFrame:
     """The least and the greatest value and the nulls of a column in each file."""
     rows = table.read(row_ids=True)

@@ -42,25 +42,30 @@ def vector_search(table: DataFrame, vector_col: str, query: Sequence[float], k:
 
 
 class IvfIndex:
-    """An inverted-file index: rows dealt to their nearest centroid, read by centroid.
+    """An inverted-file index: rows dealt to their nearest centroid, written and read by centroid.
 
-    The centroids are fitted to a bounded sample (`sample` rows, by hash of the id); every row is indexed. Write `assigned`
-    partitioned by `cell` and a search reads the probed cells only.
+    The centroids are fitted to a bounded sample (`sample` rows, by hash of the id); every row is indexed. With a path the rows
+    are written there once, a folder for each cell, and a search reads the folders it probes only.
     """
 
-    def __init__(self, assigned: DataFrame, centroids: list[list[float]], vector_col: str, id_col: str, metric: str):
-        self.assigned, self.centroids, self.vector_col, self.id_col, self.metric = assigned, centroids, vector_col, id_col, metric
+    def __init__(self, assigned: DataFrame, centroids: list[list[float]], vector_col: str, id_col: str, metric: str, cell: str):
+        self.assigned, self.centroids, self.vector_col, self.id_col, self.metric, self.cell = assigned, centroids, vector_col, id_col, metric, cell
 
     @classmethod
-    def build(cls, table: DataFrame, vector_col: str, id_col: str, partitions: int = 256, metric: str = "l2", sample: int = 100_000, iterations: int = 20, seed: int = 42) -> IvfIndex:
+    def build(cls, table: DataFrame, vector_col: str, id_col: str, partitions: int = 256, metric: str = "l2", sample: int = 100_000, iterations: int = 20, seed: int = 42, path: str | None = None) -> IvfIndex:
         _positive(num_partitions=partitions, max_iterations=iterations)
+        features, cell = (next(f"{n}{i or ''}" for i in range(len(table.columns) + 1) if f"{n}{i or ''}" not in table.columns) for n in ("features", "cell"))
         total = table.count()
         rate = min(1.0, sample / max(1, total))
-        picked = table.filter(F.pmod(F.xxhash64(id_col), F.lit(1 << 32)) < int(rate * (1 << 32)))
-        points = picked.select(array_to_vector(F.transform(vector_col, lambda x: x.cast("double"))).alias("features"))
-        model = KMeans(k=min(partitions, max(2, int(total * rate))), maxIter=iterations, seed=seed, distanceMeasure="cosine" if metric == "cosine" else "euclidean").fit(points)
-        assigned = model.transform(table.withColumn("features", array_to_vector(F.transform(vector_col, lambda x: x.cast("double"))))).drop("features").withColumnRenamed("prediction", "cell")
-        return cls(assigned, [c.tolist() for c in model.clusterCenters()], vector_col, id_col, metric)
+        points = table.withColumn(features, array_to_vector(F.transform(vector_col, lambda x: x.cast("double"))))
+        picked = points.filter(F.pmod(F.xxhash64(id_col), F.lit(1 << 32)) < int(rate * (1 << 32))).select(features)
+        means = KMeans(featuresCol=features, predictionCol=cell, k=min(partitions, max(2, int(total * rate))), maxIter=iterations, seed=seed, distanceMeasure="cosine" if metric == "cosine" else "euclidean").fit(picked)
+        assigned = means.transform(points).drop(features)
+        if path is not None:
+            # Rows of a cell are dealt to several tasks, so that a large cell is no single one.
+            assigned.repartition(cell, F.pmod(F.xxhash64(id_col), F.lit(8))).write.partitionBy(cell).parquet(path)
+            assigned = table.sparkSession.read.schema(assigned.schema).parquet(path)
+        return cls(assigned, [c.tolist() for c in means.clusterCenters()], vector_col, id_col, metric, cell)
 
     def probed(self, query: Sequence[float], nprobes: int) -> list[int]:
         """The cells whose centroids are nearest to the query; the centroids are few and on the driver."""
@@ -78,24 +83,26 @@ class IvfIndex:
         """The k nearest rows of the nprobes nearest cells, measured exactly. refine_factor takes k times as many before a
         filter that follows the search; exact distances need no other refinement."""
         _positive(refine_factor=refine_factor)
-        rows = self.assigned.filter(F.col("cell").isin(self.probed(query, nprobes))).drop("cell")
+        rows = self.assigned.filter(F.col(self.cell).isin(self.probed(query, nprobes))).drop(self.cell)
         found = vector_search(rows, self.vector_col, query, k * (refine_factor or 1), self.id_col, self.metric)
         found = found if filter is None else found.filter(filter)
         return found.orderBy("_distance", self.id_col).limit(k) if refine_factor else found
 
     def batch_search(self, queries: DataFrame, query_col: str, query_id: str, k: int = 10, nprobes: int = 16) -> DataFrame:
-        """The k nearest rows for each row of queries: query_id, id_col, _distance. Queries are sent to the cells they probe;
-        each cell meets its queries in one equi-join, and each query's rows are ranked after a per-cell top k."""
+        """The k nearest rows for each row of queries: query_id, id_col, _distance, rank. Queries are sent to the cells they
+        probe; each cell meets its queries in one equi-join. A cell is dealt to parts by a hash of the row, each of which keeps
+        the k best of a query, so neither a large cell nor a query's rows come together before that."""
         from pyspark.sql import Window
 
         centroids = F.array(*[F.struct(F.lit(i).alias("cell"), F.array(*[F.lit(float(x)) for x in c]).alias("c")) for i, c in enumerate(self.centroids)])
         by = F.transform(centroids, lambda s: F.struct(distance(s["c"], F.col("_q"), self.metric).alias("d"), s["cell"].alias("cell")))
         asked = queries.select(F.col(query_id).alias("_query"), F.transform(query_col, lambda x: x.cast("double")).alias("_q"))
-        probes = asked.select("_query", "_q", F.explode(F.slice(F.array_sort(by), 1, nprobes)).alias("p")).select("_query", "_q", F.col("p.cell").alias("cell"))
-        met = self.assigned.join(probes, "cell").withColumn("_distance", distance(self.vector_col, F.col("_q"), self.metric)).filter("_distance is not null")
-        best = met.withColumn("_r", F.row_number().over(Window.partitionBy("_query", "cell").orderBy("_distance", self.id_col))).filter(F.col("_r") <= k)
-        ranked = best.withColumn("_r", F.row_number().over(Window.partitionBy("_query").orderBy("_distance", self.id_col))).filter(F.col("_r") <= k)
-        return ranked.select(F.col("_query").alias(query_id), self.id_col, "_distance", F.col("_r").alias("rank"))
+        probes = asked.select("_query", "_q", F.explode(F.slice(F.array_sort(by), 1, nprobes)).alias("p")).select("_query", "_q", F.col("p.cell").alias("_cell"), F.explode(F.sequence(F.lit(0), F.lit(7))).alias("_part"))
+        rows = self.assigned.select(F.col(self.id_col).alias("_id"), F.col(self.vector_col).alias("_v"), F.col(self.cell).alias("_cell")).withColumn("_part", F.pmod(F.xxhash64("_id"), F.lit(8)).cast("int"))
+        met = rows.join(probes, ["_cell", "_part"]).withColumn("_distance", distance("_v", F.col("_q"), self.metric)).filter("_distance is not null")
+        best = met.select("_query", "_id", "_distance", "_cell", "_part").withColumn("_r", F.row_number().over(Window.partitionBy("_query", "_cell", "_part").orderBy("_distance", "_id"))).filter(F.col("_r") <= k)
+        ranked = best.withColumn("_r", F.row_number().over(Window.partitionBy("_query").orderBy("_distance", "_id"))).filter(F.col("_r") <= k)
+        return ranked.select(F.col("_query").alias(query_id), F.col("_id").alias(self.id_col), "_distance", F.col("_r").alias("rank"))
 
 
 def postings(table: DataFrame, text_col: str, id_col: str) -> DataFrame:
@@ -105,6 +112,42 @@ def postings(table: DataFrame, text_col: str, id_col: str) -> DataFrame:
     return exploded.groupBy("token", id_col, "length").agg(F.count("*").alias("tf"))
 
 
+class TextIndex:
+    """A stored inverted index: postings in order of token, and the number of rows and tokens. A search reads the postings of
+    its terms (Parquet ranges leave the others out) and no text."""
+
+    def __init__(self, spark, path: str, id_col: str):
+        self.spark, self.path, self.id_col = spark, path, id_col
+
+    @classmethod
+    def build(cls, table: DataFrame, text_col: str, id_col: str, path: str) -> TextIndex:
+        """Postings are dealt by token and id, so a token in a third of all rows is many files, not one. Null texts have no tokens."""
+        found = postings(table, text_col, id_col)
+        found.repartitionByRange("token", id_col).sortWithinPartitions("token", id_col).write.parquet(f"{path}/postings")
+        table.select(F.size(tokens(text_col)).alias("length")).agg(F.count("*").alias("n"), F.avg("length").alias("mean")).coalesce(1).write.parquet(f"{path}/statistics")
+        return cls(table.sparkSession, path, id_col)
+
+    def scores(self, query: str) -> DataFrame:
+        """id_col and _score, as bm25 gives them."""
+        terms = sorted(set(_terms(self.spark, query)))
+        if not terms:
+            raise ValueError("query must have a term")
+        held = self.spark.read.parquet(f"{self.path}/postings").filter(F.col("token").isin(terms))
+        stats = self.spark.read.parquet(f"{self.path}/statistics").first()
+        df = {r["token"]: r["n"] for r in held.groupBy("token").agg(F.count("*").alias("n")).collect()}  # a row a term
+        if not df:
+            return held.select(self.id_col, F.lit(0.0).alias("_score"))
+        idf = F.create_map(*[x for t, n in df.items() for x in (F.lit(t), F.log(1 + (F.lit(stats["n"]) - n + F.lit(0.5)) / (F.lit(n) + F.lit(0.5))))])[F.col("token")]
+        tf = F.col("tf").cast("double")
+        part = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("length") / F.lit(stats["mean"])))
+        return held.select(self.id_col, part.alias("_part")).groupBy(self.id_col).agg(F.sum("_part").alias("_score"))
+
+    def search(self, query: str, k: int = 10) -> DataFrame:
+        """id_col and _score of the k best rows, best first, ties by id."""
+        _positive(k=k)
+        return self.scores(query).orderBy(F.desc("_score"), self.id_col).limit(k)
+
+
 def bm25(table: DataFrame, text_col: str, query: str, id_col: str) -> DataFrame:
     """id_col and _score of all rows that hold a query term. Statistics are the whole table's, however it is partitioned.
 
