@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +22,20 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
+_own: dict[str, str] = {}
+
+
+def new_folder(t: Tables) -> str:
+    """A new folder in the cluster's shared one; where spark.checkpoint.dir is unset, in one of a session that is local."""
+    shared = t.spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not t.spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        key = t.spark.sparkContext.applicationId
+        shared = _own[key] = _own.get(key) or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    return f"{shared.rstrip('/')}/table-{uuid.uuid4().hex}"
+
+
 def query(sql: str | None = None):
     """Registers a function of Tables under its name."""
 
