@@ -20,9 +20,11 @@ _own: dict[str, str] = {}
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir; where it is unset (as in tests) a local one a session."""
+    """The shared folder the cluster names in spark.checkpoint.dir; where it is unset, one of a session that is local."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         key = spark.sparkContext.applicationId
         folder = _own[key] = _own.get(key) or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     return folder.rstrip("/")
