@@ -10,14 +10,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import Codes, fold, text_chunks
+from ._common import Codes, cut, fold, text_chunks
 
-#: Bounds of the fit: distinct labelled texts it learns from (by hash, each language in proportion but FLOOR at least, or all
-#: it has), words and n-grams it keeps of each language, and languages it learns (the most frequent).
-SAMPLE_DOCS, FLOOR, MAX_WORDS, MAX_GRAMS, MAX_LANGUAGES = 20_000, 500, 30_000, 10_000, 200
+#: Bounds of the fit, parameters of fit(): distinct labelled texts it learns from (by hash, each language in proportion but
+#: FLOOR at least, or all it has); words and n-grams that the model keeps of each language, the most frequent ones.
+SAMPLE_DOCS, FLOOR, WORDS, GRAMS = 20_000, 500, 30_000, 10_000
 LONGEST = 4
 UNKNOWN = "und"
 #: Words of evidence up to which a document's score sharpens.
@@ -130,28 +130,45 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Learn from labelled rows; null texts, null and empty languages teach nothing.
+def _frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The rows of (lang, key, n) with the highest n in their language: whole ties at a time, at most `most` a language, but
+    always those of the highest n. A language's frequencies come to the driver as a row for each different one."""
+    least, left = {}, {}
+    for r in counts.groupBy("lang", "n").agg(F.count("*").alias("keys")).orderBy("lang", F.desc("n")).collect():
+        room = left.get(r["lang"], most)
+        if r["lang"] not in least or 0 < room >= r["keys"]:
+            least[r["lang"]] = r["n"]
+            left[r["lang"]] = room - r["keys"]
+        else:
+            left[r["lang"]] = 0
+    if not least:
+        return counts.limit(0)
+    bounds = F.create_map(*[F.lit(x) for item in least.items() for x in item])
+    return counts.filter(F.col("n") >= bounds[F.col("lang")])
+
+
+def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS, most_words: int = WORDS, most_grams: int = GRAMS) -> Model:
+    """Learn from labelled rows; null texts and null languages teach nothing.
 
     Whole texts of about sample_docs rows are read; copies of a text in a language are one row, so they neither decide whether
-    a language is learnt nor outweigh its other texts. Words and n-grams are counted by Spark; what comes to the driver is
-    bounded by MAX_LANGUAGES and by MAX_WORDS and MAX_GRAMS of each language. No rows: a model that knows no language.
+    a language is learnt nor outweigh its other texts. Every language is learnt. Words and n-grams are counted by Spark over all
+    of those texts; the model, which the driver holds, has at most most_words words (of two occurrences or more) and most_grams
+    n-grams of each language, and ties of the highest frequency. A word that it leaves out is scored by its n-grams, as an
+    unseen one is. No rows: a model that knows no language.
     """
-    rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("text is not null and lang is not null and lang <> ''").withColumn("hash", F.xxhash64("text"))
+    rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("text is not null and lang is not null").withColumn("hash", F.xxhash64("text"))
     texts = rows.groupBy("lang", "hash").agg(F.count("*").alias("n"))
-    sizes = {r["lang"]: r["texts"] for r in texts.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("texts")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
+    sizes = {r["lang"]: r["texts"] for r in texts.groupBy("lang").agg(F.count("*").alias("texts")).collect()}
     if not sizes:
         return Model([], {}, [{} for _ in range(LONGEST)], np.zeros(0))
     share = sample_docs / sum(sizes.values())
     rates = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(int((1 << 32) * min(1.0, max(share, FLOOR / n)))))])
     picked = rows.filter(F.pmod("hash", F.lit(1 << 32)) < rates[F.col("lang")]).groupBy("lang", "hash").agg(F.first("text").alias("text"))
-    words = picked.mapInArrow(_counted, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).persist()
-    top = lambda df, key, most: df.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), key))).filter(F.col("rank") <= most).select("lang", key, "n").collect()
-    known = top(words.filter("n > 1"), "word", MAX_WORDS)
-    grams = words.mapInArrow(_grams, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    pieces = top(grams, "gram", MAX_GRAMS)
+    words = cut(picked.mapInArrow(_counted, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
+    known = _frequent(words.filter("n > 1"), most_words).collect()
+    grams = cut(words.mapInArrow(_grams, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
+    pieces = _frequent(grams, most_grams).collect()
     totals = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    words.unpersist()
     languages = sorted(totals)
     place = {lang: i for i, lang in enumerate(languages)}
     total = np.array([totals[lang] for lang in languages], float)

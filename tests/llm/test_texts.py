@@ -5,6 +5,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,6 +57,61 @@ def test_language_of_few_texts_in_many_copies(spark):
         assert model.words["the"][1] > model.words.get("zzz", model.unseen)[1] + 3
 
 
+def plain_languages(learn, texts):
+    """The model and its scores without Spark and arrays: words by log frequency, else the mean of the longest known n-grams."""
+    words = {}
+    for lang, text in sorted(set(learn)):
+        words.setdefault(lang, Counter()).update(langid.words_of(text))
+    langs = sorted(words)
+    grams = {lang: Counter() for lang in langs}
+    for lang in langs:
+        for w, n in words[lang].items():
+            for size in range(1, 5):
+                for i in range(len(w) + 2 - size + 1):
+                    grams[lang][f"_{w}_"[i : i + size]] += n
+    known = {w for lang in langs for w, n in words[lang].items() if n > 1}
+    total = {lang: sum(words[lang].values()) for lang in langs}
+    per = {(lang, size): sum(n for g, n in grams[lang].items() if len(g) == size) for lang in langs for size in range(1, 5)}
+
+    def score(word, lang):
+        if word in known:
+            return math.log(((words[lang][word] if words[lang][word] > 1 else 0) + 0.5) / (total[lang] + 1))
+        found, marked = [], f"_{word}_"
+        for i in range(len(marked)):
+            size = next((s for s in range(min(4, len(marked) - i), 0, -1) if any(marked[i : i + s] in grams[x] for x in langs)), 0)
+            if size:
+                found.append(math.log((grams[lang][marked[i : i + size]] + 0.5) / (per[lang, size] + 1)))
+        return sum(found) / len(found) if found else math.log(0.5) - math.log(total[lang] + 1)
+
+    for text in texts:
+        own = langid.words_of(text or "")
+        if not own:
+            yield "und", 0.0
+            continue
+        sums = {lang: sum(score(w, lang) for w in own) / len(own) * min(len(own), langid.EVIDENCE) for lang in langs}
+        best = max(langs, key=lambda x: sums[x])
+        yield best, 1 / sum(math.exp(v - sums[best]) for v in sums.values())
+
+
+def test_language_is_brute_force(spark, sf):
+    """The whole query on the small table against a plain version, scores too; an empty language is one like any other."""
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    rows += [(5000 + i, t, "") for i, t in enumerate(["zq xqx zzq", "xqx qqz zq zq", "qzq xqx"] * 3)] + [(6000, None, "en"), (6001, "12 !", "en"), (6002, "zq zqq", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learn = [(lang, t) for i, t, lang in rows if zlib.crc32(str(i).encode()) % 3 != 1 and t is not None and lang is not None]
+    want = {i: p for (i, _, _), p in zip(rows, plain_languages(learn, [t for _, t, _ in rows]))}
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs, langid.fit(docs.filter(fold("doc_id", 3) != 1), most_words=10**9, most_grams=10**9)).collect()}
+    assert {i: p for i, (p, _) in got.items()} == {i: p for i, (p, _) in want.items()}
+    assert all(abs(got[i][1] - want[i][1]) < 1e-4 for i in want)
+    assert got[6002][0] == ""
+
+
+def test_most_frequent_words_of_each_language(spark):
+    counts = spark.createDataFrame([(lang, f"w{n}{k}", n) for lang in "ab" for n in (1, 2, 3) for k in range(n if lang == "a" else 4)], "lang string, word string, n long")
+    kept = lambda most: sorted((r["lang"], r["n"]) for r in langid._frequent(counts, most).select("lang", "n").distinct().collect())
+    assert kept(5) == [("a", 2), ("a", 3), ("b", 3)] and kept(100) == [(x, n) for x in "ab" for n in (1, 2, 3)] and kept(1) == [("a", 3), ("b", 3)]
+
+
 def test_toxicity_of_few_texts_in_many_copies(spark):
     """All copies of the one toxic text are in one part of the fit: on either side it is learnt."""
     docs, labels = planted(2, 400)
