@@ -23,7 +23,8 @@ SAMPLE_TOXIC, SAMPLE_ORDINARY, CALIBRATION = 10_000, 20_000, 0.3
 #: A word of toxic rows goes into the toxic dictionary if it is in MIN_ROWS distinct ones, RATIO times as common as in
 #: ordinary rows, and so clearly that of all words tested about one would be by chance; at most MAX_WORDS do, the clearest.
 MIN_ROWS, RATIO, MAX_WORDS = 5, 10, 2000
-#: Words of a window, bytes of the ordinary dictionary, rows it is drawn from, and zstandard's level.
+#: Words of a window, bytes of the ordinary dictionary, rows whose windows it is drawn from (by hash, at most 600 windows of at
+#: most 1000 bytes each come to the driver), and zstandard's level.
 WINDOW, ORDINARY_BYTES, ORDINARY_ROWS, LEVEL = 32, 60_000, 400, 6
 _LETTERS = regex.compile(r"\p{L}+")
 
@@ -89,6 +90,12 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(all_rows), pa.string()), pa.array([toxic[w] for w in all_rows], pa.int64()), pa.array([n - toxic[w] for w, n in all_rows.items()], pa.int64())], ["word", "toxic", "ordinary"])
 
 
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, texts in text_chunks(batches, "text"):
+        found = [w[:1000] for t in texts for w in windows(t)]
+        yield pa.RecordBatch.from_arrays([pa.array([zlib.crc32(w) for w in found], pa.int64()), pa.array(found, pa.binary())], ["hash", "window"])
+
+
 def _features(ordinary: bytes, toxic: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_chunks(batches, "text"):
@@ -110,8 +117,8 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 def fit(labelled: DataFrame) -> Model:
     """Learn from rows with text and toxic (0 or 1); a null label teaches nothing, a null text counts as empty.
 
-    Word counts are Spark aggregations over the sampled rows, where copies of a text count once. To the driver come at most MAX_WORDS words, the text of about
-    ORDINARY_ROWS ordinary rows and five numbers for each calibration row. With rows of one class only, every score is that
+    Word counts are Spark aggregations over the sampled rows, where copies of a text count once. To the driver come at most MAX_WORDS words, 600 windows of
+    ordinary rows and five numbers for each calibration row. With rows of one class only, every score is that
     class's share, smoothed.
     """
     rows = labelled.select(F.coalesce("text", F.lit("")).alias("text"), (F.col("toxic") == 1).cast("int").alias("toxic")).filter("toxic is not null").distinct().persist()
@@ -144,8 +151,8 @@ def fit(labelled: DataFrame) -> Model:
         tested.unpersist()
         apart.unpersist()
         rate = int((1 << 32) * min(1.0, ORDINARY_ROWS / n_ordinary))
-        plain = [r["text"] for r in learn.filter((F.col("toxic") == 0) & (F.pmod(F.xxhash64("text", F.lit(2)), F.lit(1 << 32)) < rate)).select("text").collect()]
-        pieces = sorted({w for t in plain for w in windows(t)}, key=lambda w: (zlib.crc32(w), w))
+        plain = learn.filter((F.col("toxic") == 0) & (F.pmod(F.xxhash64("text", F.lit(2)), F.lit(1 << 32)) < rate)).select("text").mapInArrow(_windows, "hash long, window binary")
+        pieces = [bytes(r["window"]) for r in plain.distinct().orderBy("hash", "window").limit(600).collect()]
         ordinary = b" ".join(pieces)[:ORDINARY_BYTES]
         toxic = b" " + b" ".join(w.encode() for w in reversed(words)) + b" " + ordinary
         found = check.mapInArrow(_features(ordinary, toxic), "toxic int, features array<double>").collect()
