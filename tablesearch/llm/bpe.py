@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -20,8 +19,8 @@ from .words import PRE_TOKEN, Splitter, count_words, most_frequent
 #: The most frequent words of the corpus that are broadcast with their ids (some 15 MB in a worker). Words beyond them are
 #: replayed where they are met.
 HOT_WORDS = 200_000
-#: Stretches of text whose ids a worker remembers.
-REMEMBERED = 700_000
+#: Stretches of text whose ids a task remembers.
+REMEMBERED = 400_000
 #: Bytes of words that are replayed at a time; longer words are replayed one by one.
 REPLAY_BYTES, LONG = 4 << 20, 256
 #: Ranks of a band of the index (a power of two) and the rank of what does not merge.
@@ -278,19 +277,9 @@ def _replay(path: str) -> MergeReplay:
     return MergeReplay(load_ranks(path))
 
 
-def _codecs(path: str, pattern: str, hot):
-    """The worker's codec; one worker holds one."""
-    if _held.get("key") != (key := (path, pattern, hot.value[3])):
-        _held.update(key=key, codec=Codec(path, pattern, hot.value[:3]))
-    return _held["codec"]
-
-
-_held: dict = {}
-
-
 def _encode(path: str, pattern: str, hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codecs(path, pattern, hot)
+        codec = Codec(path, pattern, hot.value)  # gone with the task: a worker may go on to other work
         for batch, texts in text_chunks(batches, "text", 2 << 20):
             ids, ends = codec.encode(texts)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids.view(np.int32)))], ["id", "ids"])
@@ -300,7 +289,7 @@ def _encode(path: str, pattern: str, hot):
 
 def _round_trip(path: str, pattern: str, hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, sha = _codecs(path, pattern, hot), lambda b: hashlib.sha256(b).hexdigest()
+        codec, sha = Codec(path, pattern, hot.value), lambda b: hashlib.sha256(b).hexdigest()
         for batch, texts in text_chunks(batches, "text", 2 << 20):
             ids, ends = codec.encode(texts)
             back, places = codec.replay.decode(ids)
@@ -348,7 +337,7 @@ def _hot(base: DataFrame, path: str, pattern: str, most: int):
     found = most_frequent(counted, most).select("word").mapInArrow(_with_ids(path), "word string, ids array<int>").toArrow()
     ids = found.column("ids").combine_chunks()
     flat, sizes = ids.flatten().to_numpy(zero_copy_only=False).astype(np.uint32), np.diff(ids.offsets.to_numpy()).astype(np.int64) if len(ids) else np.zeros(0, np.int64)
-    return base.sparkSession.sparkContext.broadcast((found.column("word").to_pylist(), flat, sizes, uuid.uuid4().hex))
+    return base.sparkSession.sparkContext.broadcast((found.column("word").to_pylist(), flat, sizes))
 
 
 def _input(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:

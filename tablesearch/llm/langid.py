@@ -103,7 +103,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, text in zip(batch.column("lang").to_pylist(), texts, strict=True):
             for word, n in Counter(words_of(text)).items():
                 seen[lang, word] += n
-        if len(seen) > 300_000:
+        if len(seen) > 150_000:
             yield flush()
     if seen:
         yield flush()
@@ -124,7 +124,7 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for size in range(1, LONGEST + 1):
                 for i in range(len(marked) - size + 1):
                     seen[lang, marked[i : i + size]] += n
-        if len(seen) > 300_000:
+        if len(seen) > 150_000:
             yield flush()
     if seen:
         yield flush()
