@@ -20,19 +20,24 @@ from ._common import fold, text_chunks
 
 #: Bounds of the fit: labelled rows of each class that it reads, by hash. CALIBRATION of them set the thresholds only.
 SAMPLE_TOXIC, SAMPLE_ORDINARY, CALIBRATION = 10_000, 20_000, 0.3
-#: A word of toxic rows goes into the toxic dictionary if it is in MIN_ROWS distinct ones, RATIO times as common as in
-#: ordinary rows, and so clearly that of all words tested about one would be by chance; at most MAX_WORDS do, the clearest.
+#: A word leans to toxic rows if it is in MIN_ROWS distinct ones, RATIO times as common as in ordinary rows, and so clearly
+#: that of all words tested about one would be by chance; at most MAX_WORDS do, the clearest.
 MIN_ROWS, RATIO, MAX_WORDS = 5, 10, 2000
-#: Words of a window, bytes of the ordinary dictionary, rows whose windows it is drawn from (by hash, at most 600 windows of at
-#: most 1000 bytes each come to the driver), and zstandard's level.
-WINDOW, ORDINARY_BYTES, ORDINARY_ROWS, LEVEL = 32, 60_000, 400, 6
+#: The toxic dictionary is trained on the windows of toxic rows that a leaning word and its neighbours make, to WORD_BYTES for
+#: each leaning word; the ordinary one on windows of ordinary rows, to ORDINARY_BYTES. For each, at most TRAIN windows (the
+#: least hashes, at most WINDOW_BYTES of each) come to the driver; ordinary ones from about ORDINARY_ROWS rows.
+WORD_BYTES, ORDINARY_BYTES, TRAIN, WINDOW_BYTES, ORDINARY_ROWS = 16, 60_000, 40_000, 200, 3000
+#: Words of a window that is scored, and zstandard's level.
+WINDOW, LEVEL = 16, 6
 _LETTERS = regex.compile(r"\p{L}+")
 
 
 @dataclass(frozen=True)
 class Model:
-    """ordinary: text of ordinary rows. toxic: the toxic words before that same text, so a window's two lengths differ by
-    what the toxic words save and by nothing else. weights: of the features; mean and spread: of the features in the fit."""
+    """ordinary: the dictionary trained on ordinary windows. toxic: the one trained on toxic windows, before those same
+    bytes, so a window's two lengths differ by what the toxic one saves beyond the ordinary one and by nothing else. Both are
+    used as raw content, without the trainer's entropy tables, which would differ. weights: of the features; mean and spread:
+    of the features in the fit."""
 
     ordinary: bytes
     toxic: bytes
@@ -92,8 +97,35 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, texts in text_chunks(batches, "text"):
-        found = [w[:1000] for t in texts for w in windows(t)]
-        yield pa.RecordBatch.from_arrays([pa.array([zlib.crc32(w) for w in found], pa.int64()), pa.array(found, pa.binary())], ["hash", "window"])
+        yield _hashed([w for t in texts for w in windows(t)])
+
+
+def _around(leaning: frozenset[str]):
+    """The windows that a word with a run of letters in leaning makes with the word before and the word after it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in text_chunks(batches, "text"):
+            found = []
+            for words in (t.lower().split() for t in texts):
+                at = [i for i, w in enumerate(words) if not leaning.isdisjoint(_LETTERS.findall(w))]
+                found += [" ".join(words[max(0, i - 1) : i + 2]).encode() for i in at]
+            yield _hashed(found)
+
+    return run
+
+
+def _hashed(found: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([zlib.crc32(w) for w in found], pa.int64()), pa.array([w[:WINDOW_BYTES] for w in found], pa.binary())], ["hash", "window"])
+
+
+def _trained(found: DataFrame, size: int) -> bytes:
+    """zstandard's dictionary of the windows found (hash, window), repeats included; where they are too few for its trainer,
+    the windows themselves."""
+    pieces = [bytes(r["window"]) for r in found.orderBy("hash", "window").limit(TRAIN).collect()]
+    try:
+        return zstandard.train_dictionary(max(size, 512), pieces).as_bytes()
+    except zstandard.ZstdError:
+        return b" ".join(pieces)[:size]
 
 
 def _features(ordinary: bytes, toxic: bytes):
@@ -117,9 +149,9 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 def fit(labelled: DataFrame) -> Model:
     """Learn from rows with text and toxic (0 or 1); a null label teaches nothing, a null text counts as empty.
 
-    Word counts are Spark aggregations over the sampled rows, where copies of a text count once. To the driver come at most MAX_WORDS words, 600 windows of
-    ordinary rows and five numbers for each calibration row. With rows of one class only, every score is that
-    class's share, smoothed.
+    Word counts are Spark aggregations over the sampled rows, where copies of a text count once. To the driver come at most
+    MAX_WORDS words, TRAIN windows for each dictionary and five numbers for each calibration row. With rows of one class
+    only, every score is that class's share, smoothed.
     """
     rows = labelled.select(F.coalesce("text", F.lit("")).alias("text"), (F.col("toxic") == 1).cast("int").alias("toxic")).filter("toxic is not null").distinct().persist()
     split = F.pmod(F.xxhash64("text", F.lit(1)), F.lit(1000)) < int(1000 * CALIBRATION)
@@ -149,12 +181,12 @@ def fit(labelled: DataFrame) -> Model:
         marked = tested.filter((F.col("clear") >= float(np.log(max(1, tested.count())))) & (F.col("toxic") / n_toxic >= RATIO * (F.col("ordinary") + 0.5) / n_ordinary))
         words = [r["word"] for r in marked.orderBy(F.desc("clear"), "word").limit(MAX_WORDS).collect()]
         tested.unpersist()
+        toxic = _trained(apart.filter("toxic = 1").select("text").mapInArrow(_around(frozenset(words)), "hash long, window binary"), WORD_BYTES * len(words)) if words else b""
         apart.unpersist()
         rate = int((1 << 32) * min(1.0, ORDINARY_ROWS / n_ordinary))
         plain = learn.filter((F.col("toxic") == 0) & (F.pmod(F.xxhash64("text", F.lit(2)), F.lit(1 << 32)) < rate)).select("text").mapInArrow(_windows, "hash long, window binary")
-        pieces = [bytes(r["window"]) for r in plain.distinct().orderBy("hash", "window").limit(600).collect()]
-        ordinary = b" ".join(pieces)[:ORDINARY_BYTES]
-        toxic = b" " + b" ".join(w.encode() for w in reversed(words)) + b" " + ordinary
+        ordinary = _trained(plain, ORDINARY_BYTES)
+        toxic += ordinary
         found = check.mapInArrow(_features(ordinary, toxic), "toxic int, features array<double>").collect()
     finally:
         rows.unpersist()
